@@ -38,4 +38,4 @@ def closer_than(earlier: Column, later: Column, duration: str) -> Column:
 
 
 def interval(duration: str) -> Column:
-    return F.expr(f"make_dt_interval(0, 0, 0, cast({duration_seconds(duration)!r} as decimal(18, 6)))")
+    return F.expr(f"make_dt_interval(0, 0, 0, {duration_micros(duration)} / 1000000BD)")

@@ -14,6 +14,7 @@ named AS (
     SELECT 'room_' || room_id || '_' || source AS id, ts, temperature, event_id FROM readings)"""
 
 _HOUR = "time_bucket(INTERVAL '1 hour', ts)"
+_MINUTES = "time_bucket(INTERVAL '5 minutes', ts)"
 _DAY = "time_bucket(INTERVAL '1 day', ts)"
 
 _AVERAGES = _READINGS + f""",
@@ -227,8 +228,8 @@ FROM readings GROUP BY {_HOUR}""",
         "window_max_by": f"""
 WITH {_MESSAGES}
 SELECT * EXCLUDE (rank) FROM (
-    SELECT {_HOUR} AS window_start, {_HOUR} + INTERVAL '1 hour' AS window_end, messages.*,
-           row_number() OVER (PARTITION BY {_HOUR} ORDER BY sentAt DESC, event_id) AS rank
+    SELECT {_MINUTES} AS window_start, {_MINUTES} + INTERVAL '5 minutes' AS window_end, messages.*,
+           row_number() OVER (PARTITION BY {_MINUTES} ORDER BY sentAt DESC, event_id) AS rank
     FROM messages) WHERE rank = 1""",
         # Relation of IN and OUT
         "in_out_relation": f"WITH {_RELATION} SELECT room_id, relation, window_end FROM relation",

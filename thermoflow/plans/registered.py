@@ -240,7 +240,7 @@ def backup_messages(spark, folder):
 @_query
 def window_max_by(spark, folder):
     """The message sent last in each window (whole rows, ties to the first)."""
-    return windows.window_max_row(_messages(spark, folder), "sentAt", WIDTH)
+    return windows.window_max_row(_messages(spark, folder), "sentAt", "5 minutes")
 
 
 # Relation of IN and OUT

@@ -15,9 +15,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """The same table as a stream of its files."""
-    path = f"{folder.rstrip('/')}/{name}.parquet"
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    """The same table as a stream of its files, whether it is one file or a folder of them.
+
+    The stream source takes a plain path for a folder; a pattern (of one name) fits both.
+    """
+    path = f"{folder.rstrip('/')}/{name}.parque"
+    return spark.readStream.schema(spark.read.parquet(f"{path}t").schema).parquet(f"{path}[t]")
 
 
 def readings_from_events(events: DataFrame, source: str | None = None) -> DataFrame:

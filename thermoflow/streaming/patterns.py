@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from thermoflow.fixed_values import ALERT_GAP, WARNING_GAP, WARNING_THRESHOLD
-from thermoflow.functions.time import duration_micros
+from thermoflow.functions.time import duration_micros, interval
 from thermoflow.model import READING_ORDER
 from thermoflow.operators.patterns import SCOPE_KEYS, pair_to_alert, pair_to_warning
 
@@ -43,13 +43,15 @@ def stream_pairs(
     columns = list(dict.fromkeys([*order_by, *fields]))
     payload = [name for name in columns if name not in keys]
 
-    def pair(previous: Column, row: Column, **extra: Column) -> Column:
+    def pair(previous: Column, row: Column) -> Column:
         return F.struct(
             *[row[name].alias(name) for name in payload],
             *[previous[name].alias(f"prev_{name}") for name in fields],
-            *[column.alias(name) for name, column in extra.items()],
         )
 
+    def chain(before: Column, edge: Column) -> Column:
+        return F.struct(edge["closed"].alias("closed"), pair(before["last"], edge["first"]).alias("pair"))
+
     items = F.sort_array(F.collect_list(F.struct(*columns)))
     slices = (
         df.groupBy(F.window(ts, slice_width).alias("slice"), *keys)
@@ -67,8 +69,8 @@ def stream_pairs(
     )
     across = chained.select(
         *keys, F.col("window.end").alias("until"),
-        F.explode(_neighbours("edges", lambda a, b: pair(a["last"], b["first"], closed=b["closed"]))).alias("pair"),
-    ).where(F.col("pair.closed") >= F.col("until") - F.expr(f"make_dt_interval(0, 0, 0, {step / 1e6!r})"))
+        F.inline(_neighbours("edges", chain)),
+    ).where(F.col("closed") >= F.col("until") - interval(f"{step} microseconds"))
 
     out = [*payload, *[f"prev_{name}" for name in fields]]
     return (
