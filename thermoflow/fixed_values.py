@@ -17,6 +17,7 @@ NEW_ROOMS = "newrooms"
 AVERAGE_WINDOW = "5 seconds"
 JOIN_WINDOW = "1 second"
 OUT_OF_ORDERNESS = "3 seconds"
+WATERMARK_INTERVAL = "1 second"
 WARNING_THRESHOLD = 30
 WARNING_GAP = "5 seconds"
 ALERT_GAP = "10 seconds"

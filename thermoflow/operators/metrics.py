@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from thermoflow.fixed_values import HISTOGRAM_SIZE, METER_WINDOW
 from thermoflow.functions.time import duration_seconds
@@ -77,6 +77,27 @@ def window_histogram(
     )
 
 
+def most_recent(
+    df: DataFrame, size: int, order_by: Sequence[str] = ("ts", "event_id"), bucket: str = "1 day"
+) -> DataFrame:
+    """The last ``size`` rows in the given order.
+
+    Counts per time bucket tell how far back the last rows reach; only those buckets go
+    into the top-n, so old data costs one counting pass and nothing more.
+    """
+    ts = order_by[0]
+    back = Window.orderBy(F.desc("start")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    reached = (
+        df.groupBy(F.window(ts, bucket)["start"].alias("start")).agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("seen", F.sum("n").over(back))
+    )
+    first_bucket = reached.agg(
+        F.coalesce(F.max(F.when(F.col("seen") >= size, F.col("start"))), F.min("start"))
+    ).scalar()
+    recent = df.where(F.col(ts) >= first_bucket)
+    return recent.orderBy(*[F.desc(name) for name in order_by]).limit(size)
+
+
 def recent_histogram(
     df: DataFrame,
     size: int = HISTOGRAM_SIZE,
@@ -84,7 +105,7 @@ def recent_histogram(
     order_by: Sequence[str] = ("ts", "event_id"),
 ) -> DataFrame:
     """The same figures over the last ``size`` values: a histogram metric at the end of a run."""
-    recent = df.select(*order_by, value).orderBy(*[F.desc(name) for name in order_by]).limit(size)
+    recent = most_recent(df.select(*order_by, value), size, order_by)
     counts = recent.groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
     out = counts.agg(*_distribution(value, F.col("_n")))
     return out.select("count", "min", "max", "mean", "stddev", *_named_quantiles())

@@ -40,21 +40,33 @@ class Slices:
     def __len__(self) -> int:
         return len(self.borders) + 1
 
-    def number(self, df: DataFrame) -> Column:
-        """The slice of a row: how many borders are at or before it (binary search)."""
+    def add_to(self, df: DataFrame, name: str) -> DataFrame:
+        """Add the slice of each row: how many borders are at or before it.
+
+        A binary search, written as one column per halving so that every step is plain
+        generated code over the border arrays, which are constants of the plan.
+        """
         count = len(self.borders)
         if count == 0:
-            return F.lit(0)
-        position = F.array(*_positions(df, self.order_by))
-        borders = F.from_json(F.lit(json.dumps(self.borders)), "array<array<bigint>>")
-        steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(count.bit_length()))])
-        return F.aggregate(
-            steps,
-            F.lit(0),
-            lambda found, step: F.when(
-                (found + step <= count) & (F.get(borders, found + step - 1) <= position), found + step
-            ).otherwise(found),
-        )
+            return df.withColumn(name, F.lit(0))
+        at = [f"_at_{i}" for i in range(len(self.order_by))]
+        borders = [
+            F.from_json(F.lit(json.dumps(values)), "array<bigint>") for values in zip(*self.borders)
+        ]
+        df = df.withColumns({**dict(zip(at, _positions(df, self.order_by))), name: F.lit(0)})
+        for bit in reversed(range(count.bit_length())):
+            upper = F.col(name) + (1 << bit)
+            not_after = _not_after([F.get(b, upper - 1) for b in borders], [F.col(c) for c in at])
+            df = df.withColumn(name, F.when((upper <= count) & not_after, upper).otherwise(F.col(name)))
+        return df.drop(*at)
+
+
+def _not_after(border: list[Column], position: list[Column]) -> Column:
+    """Whether a border is at or before a position, column by column."""
+    last = border[-1] <= position[-1]
+    for b, p in zip(reversed(border[:-1]), reversed(position[:-1])):
+        last = (b < p) | ((b == p) & last)
+    return last
 
 
 def _positions(df: DataFrame, order_by: Sequence[str]) -> list[Column]:
@@ -119,7 +131,7 @@ def previous_row(
         ordered = Window.partitionBy(*keys).orderBy(*order_by)
         return df.withColumns({f"prev_{name}": F.lag(name).over(ordered) for name in fields})
 
-    sliced = df.withColumn(_SLICE, slices.number(df))
+    sliced = slices.add_to(df, _SLICE)
     kept = list(dict.fromkeys([*order_by, *fields]))
     last_rows = sliced.groupBy(*keys, _SLICE).agg(
         F.max_by(F.struct(*kept), F.struct(*order_by)).alias("_last")
@@ -167,9 +179,10 @@ def _running(df, keys, order_by, totals, slices=None, rows_per_slice=ROWS_PER_SL
             )
             running = {name: F.sum(value).over(ordered) for name, value in totals.items()}
             return df.withColumns({**running, _SLICE: F.lit(0)})
-        slice_by = slices.number(df)
-
-    sliced = df.withColumns({_SLICE: slice_by, **{f"_add_{name}": value for name, value in totals.items()}})
+        df = slices.add_to(df, _SLICE)
+    else:
+        df = df.withColumn(_SLICE, slice_by)
+    sliced = df.withColumns({f"_add_{name}": value for name, value in totals.items()})
     per_slice = sliced.groupBy(*keys, _SLICE).agg(
         *[F.sum(f"_add_{name}").alias(f"_add_{name}") for name in totals]
     )
@@ -205,25 +218,30 @@ def ordered_parts(
     slices: Slices | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
     sums: Mapping[str, Column] | None = None,
+    firsts: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """All values of each group as ordered arrays: ``groups, part, n, items`` (and sums).
+    """All values of each group as ordered arrays: ``groups, part, n, items``.
+
+    ``sums`` and ``firsts`` add totals and first values of each part.
 
     A group of up to ``part_rows`` rows gives one row with ``part`` 0. A larger one gives
     one row per ``part_rows`` rows, in order, so that nothing is lost and no task or cell
     has to hold a whole hot group.
     """
     order_by = tuple(order_by)
-    sums = dict(sums or {})
+    sums, firsts = dict(sums or {}), dict(firsts or {})
     ranked = _running(
         df.select(*dict.fromkeys([*groups, *order_by]), value.alias("_value"),
-                  *[column.alias(f"_sum_{name}") for name, column in sums.items()]),
+                  *[column.alias(f"_in_{name}") for name, column in (sums | firsts).items()]),
         groups, order_by, {"_rank": F.lit(1)}, slices, rows_per_slice,
     )
     parted = ranked.withColumn("part", F.call_function("div", F.col("_rank") - 1, F.lit(part_rows)))
+    position = F.struct(*order_by)
     pieces = parted.groupBy(*groups, "part", _SLICE).agg(
         F.count(F.lit(1)).alias("n"),
         F.sort_array(F.collect_list(F.struct(*order_by, F.col("_value")))).alias("_piece"),
-        *[F.sum(f"_sum_{name}").alias(f"_sum_{name}") for name in sums],
+        *[F.sum(f"_in_{name}").alias(f"_in_{name}") for name in sums],
+        *[F.min_by(f"_in_{name}", position).alias(f"_in_{name}") for name in firsts],
     ).withColumn("_piece", F.transform("_piece", lambda item: item["_value"]))
     # The pieces of one part come from neighbouring slices; the second grouping only joins them.
     return pieces.groupBy(*groups, "part").agg(
@@ -231,5 +249,6 @@ def ordered_parts(
         F.flatten(F.transform(
             F.sort_array(F.collect_list(F.struct(_SLICE, "_piece"))), lambda item: item["_piece"]
         )).alias("items"),
-        *[F.sum(f"_sum_{name}").alias(name) for name in sums],
+        *[F.sum(f"_in_{name}").alias(name) for name in sums],
+        *[F.min_by(f"_in_{name}", _SLICE).alias(name) for name in firsts],
     )

@@ -97,19 +97,15 @@ def window_concat(
     the first row of the window.
     """
     groups = [*keys, *_BOUNDS]
-    item = value if first_of is None else F.struct(value.alias("value"), F.col(first_of).alias("first"))
+    firsts = {} if first_of is None else {"_first": F.col(first_of)}
     parts = ordered_parts(
-        _windowed(df, width, ts), groups, order_by, item, part_rows, slices, rows_per_slice
+        _windowed(df, width, ts), groups, order_by, value, part_rows, slices, rows_per_slice, firsts=firsts
     )
-    items = F.col("items")
-    extra = []
-    if first_of is not None:
-        # Parts are few: a window over them only ever sees one row per part_rows readings.
-        from_first = Window.partitionBy(*groups).orderBy("part")
-        extra = [F.first(F.get(items, F.lit(0))["first"]).over(from_first).alias(first_of)]
-        items = F.transform(items, lambda x: x["value"])
-    joined = F.concat(F.array_join(items, separator), F.lit(end))
-    return parts.select(*groups, "part", *extra, "n", joined.alias(text))
+    # Parts are few: a window over them sees one row per part_rows input rows.
+    from_first = Window.partitionBy(*groups).orderBy("part")
+    named = [F.first("_first").over(from_first).alias(first_of)] if firsts else []
+    joined = F.concat(F.array_join("items", separator), F.lit(end))
+    return parts.select(*groups, "part", *named, "n", joined.alias(text))
 
 
 def window_int_mean_values(

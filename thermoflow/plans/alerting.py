@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from thermoflow.fixed_values import ALERT_GAP, OUT_OF_ORDERNESS, WARNING_GAP, WARNING_THRESHOLD
+from thermoflow.fixed_values import ALERT_GAP, OUT_OF_ORDERNESS, WARNING_GAP, WARNING_THRESHOLD, WATERMARK_INTERVAL
 from thermoflow.model import READING_ORDER, WARNING
 from thermoflow.operators.dashboard import alert_counter
 from thermoflow.operators.metrics import counted
@@ -53,7 +53,7 @@ class Alerting:
         warned = stream_warnings(
             with_event_time(readings, delay), self.threshold, self.warning_gap, self.exact, self.slice_width
         )
-        return _store(warned, path, checkpoint, trigger)
+        return _store(warned, "warnings", path, checkpoint, trigger)
 
     def start_alerts(
         self, spark: SparkSession, warnings_path: str, path: str, checkpoint: str, **trigger
@@ -64,13 +64,13 @@ class Alerting:
             warning_delay(self.warning_gap, self.slice_width),
         )
         alerted = stream_alerts(warned, self.alert_gap, self.scope, self.slice_width)
-        return _store(counted(alerted, "alerting", "alerts"), path, checkpoint, trigger)
+        return _store(counted(alerted, "alerting", "alerts"), "alerts", path, checkpoint, trigger)
 
 
-def _store(df: DataFrame, path: str, checkpoint: str, trigger: dict) -> StreamingQuery:
+def _store(df: DataFrame, name: str, path: str, checkpoint: str, trigger: dict) -> StreamingQuery:
     return (
-        df.writeStream.format("parquet").outputMode("append")
+        df.writeStream.format("parquet").queryName(name).outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": "1 second"}))
+        .trigger(**(trigger or {"processingTime": WATERMARK_INTERVAL}))
         .start(path)
     )

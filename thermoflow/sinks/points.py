@@ -21,14 +21,14 @@ def write_lines(points: DataFrame, path: str, fields: dict[str, str] | None = No
     lines.write.option("maxRecordsPerFile", per_file).option("compression", compression).text(path)
 
 
-def store_points(points: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
+def store_points(points: DataFrame, path: str, checkpoint: str, name: str = "points", **trigger) -> StreamingQuery:
     """Stream points into a table, each exactly once (the sink's log names the valid files).
 
     ``trigger`` is passed to ``writeStream.trigger``; the default flushes as often as the
     time-series sink does.
     """
     return (
-        points.writeStream.format("parquet").partitionBy("measurement").outputMode("append")
+        points.writeStream.format("parquet").queryName(name).partitionBy("measurement").outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": FLUSH_INTERVAL}))
         .start(path)
