@@ -17,7 +17,7 @@ from thermoflow.operators import dashboard, metrics, points, projections, relati
 from thermoflow.operators.ordered import plan_slices
 from thermoflow.operators.patterns import alerts, compat_alerts, warnings
 from thermoflow.plans.main_job import window_points
-from thermoflow.session import use_utc, working_path
+from thermoflow.session import stream_session, use_utc, working_path
 from thermoflow.sources import codec, kafka
 from thermoflow.sources.events import (
     compound_id, messages_from_conversations, readings_from_events, table, table_stream,
@@ -465,7 +465,8 @@ def recent_value_histogram(spark, folder):
 
 
 def _reading_stream(spark: SparkSession, folder: str) -> DataFrame:
-    return with_event_time(readings_from_events(table_stream(spark, folder, "events")), OUT_OF_ORDERNESS)
+    stream = table_stream(stream_session(spark), folder, "events")
+    return with_event_time(readings_from_events(stream), OUT_OF_ORDERNESS)
 
 
 def _ntz(df: DataFrame, *names: str) -> DataFrame:
@@ -504,7 +505,7 @@ def stream_alert_pairs(spark, folder):
     found = _stream_warnings(spark, folder)
     stored = working_path(spark, "warnings")
     drain(found, stored, working_path(spark, "warnings-checkpoint"))
-    warned = spark.readStream.schema(found.schema).parquet(stored)
+    warned = stream_session(spark).readStream.schema(found.schema).parquet(stored)
     delayed = with_event_time(warned, warning_delay(WARNING_WITHIN, STREAM_SLICE))
     return _ntz(drained(spark, stream_alerts(delayed, ALERT_WITHIN, slice_width=STREAM_SLICE), "alerts"), "ts")
 
@@ -513,7 +514,7 @@ def stream_alert_pairs(spark, folder):
 def stream_mean_per_key(spark, folder):
     """Every update of the running means is stored; the last one of each key is its mean."""
     updates = drained(
-        spark, running.mean_per_key(readings_from_events(table_stream(spark, folder, "events"))),
+        spark, running.mean_per_key(readings_from_events(table_stream(stream_session(spark), folder, "events"))),
         "means", output_mode="update",
     )
     return updates.groupBy("room_id", "source").agg(
@@ -524,6 +525,6 @@ def stream_mean_per_key(spark, folder):
 
 @_query
 def stream_word_count(spark, folder):
-    texts = table_stream(spark, folder, "part").select(F.col("p_name").alias("text"))
+    texts = table_stream(stream_session(spark), folder, "part").select(F.col("p_name").alias("text"))
     updates = drained(spark, running.word_count(texts), "words", output_mode="update")
     return updates.groupBy("word").agg(F.max("count").alias("count"))

@@ -36,6 +36,21 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def stream_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
+    """A session of the same application with settings for stateful streams.
+
+    The number of state partitions is fixed when a stream first starts and is not
+    adapted later, and every partition commits a state store in every micro-batch. So it
+    should follow the cores there are (the default) or the rate of the stream, not the
+    number of partitions that suits batch shuffles.
+    """
+    session = spark.newSession()
+    for name, value in SETTINGS.items():
+        session.conf.set(name, value)
+    session.conf.set("spark.sql.shuffle.partitions", partitions or spark.sparkContext.defaultParallelism)
+    return session
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 

@@ -14,8 +14,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from thermoflow.functions.text import split_tokens
 from thermoflow.model import MESSAGE
 
-_KEY = "roomId string"
-_VALUE = "value string, timestamp string"
 # Largest epoch milliseconds a microsecond timestamp can hold.
 _MAX_MILLIS = (2**63 - 1) // 1000
 
@@ -39,20 +37,21 @@ def _whole_number(text: Column) -> Column:
 def decode_wire(records: DataFrame, strict: bool = False) -> DataFrame:
     """Records (``key``, ``value``, …) as readings with an ``error`` that is NULL if all is well."""
     others = [name for name in records.columns if name not in ("key", "value")]
-    parsed = records.select(
-        *others,
-        F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
-    ).withColumns({
-        "_room": split_tokens(F.from_json("key", _KEY)["roomId"], "_"),
-        "_value": F.from_json("value", _VALUE),
-    })
-    millis = _whole_number(F.col("_value.timestamp"))
+    texts = records.select(
+        *others, F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value")
+    )
+    # Parsed by generators: filters on the outcome stay above them, where parsing in a
+    # projection would be repeated for every use of its result.
+    parsed = texts.select("*", F.json_tuple("key", "roomId").alias("_id"))
+    parsed = parsed.select("*", F.json_tuple("value", "value", "timestamp").alias("_value", "_millis"))
+    parsed = parsed.withColumn("_room", split_tokens(F.col("_id"), "_"))
+    millis = _whole_number(F.col("_millis"))
     decoded = parsed.select(
         *others, "key", "value",
         F.get("_room", F.lit(0)).alias("room_id"),
         F.get("_room", F.lit(1)).alias("source"),
         F.timestamp_millis(F.when(F.abs(millis) <= _MAX_MILLIS, millis)).alias("ts"),
-        _whole_number(F.col("_value.value")).try_cast("int").alias("temperature"),
+        _whole_number(F.col("_value")).try_cast("int").alias("temperature"),
     ).withColumn(
         "error",
         F.when(F.col("room_id").isNull(), "no room")
