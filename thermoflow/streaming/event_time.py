@@ -2,7 +2,9 @@
 
 Rows whose window has closed are dropped and counted in the query progress
 (``numRowsDroppedByWatermark``); there is no side output. Spark moves the watermark
-once per micro-batch, so how late a row may be also depends on the trigger.
+once per micro-batch, and a row still counts in the very batch that closes its window.
+So how late a row may be depends on the trigger too, but every row counts wholly or not
+at all.
 """
 
 from __future__ import annotations
