@@ -33,6 +33,9 @@ def test_stored_points(spark, readings, tmp_path):
     path = str(tmp_path / "points")
     write_points(points.relation_points(relation(df)), path)
     assert rows(read_points(spark, path, "rooms_avg"), "room", "time", "value") == [("0", at(5), 0.5)]
+    assert read_points(spark, path, since=at(5)).count() == 1
+    later = read_points(spark, path, "rooms_avg", since=at(6))
+    assert later.count() == 0 and "day" not in later.columns
 
 
 def values(spark, *data):

@@ -1,7 +1,7 @@
 from conftest import at, rows, same_rows
 from pyspark.sql import functions as F
 
-from thermoflow.operators import windows
+from thermoflow.operators import ordered, windows
 from thermoflow.operators.keying import key_at, rebalance, with_partition, write_by_partition
 from thermoflow.sources.memory import from_rows
 
@@ -72,6 +72,16 @@ def test_concat(spark):
     assert rows(lengths, "key", "window_start", "text") == [("a", at(0), "2"), ("a", at(5), "1"), ("b", at(0), "31")]
 
 
+def test_long_texts_make_shorter_parts(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "PART_BYTES", 100)
+    texts = ["a" * 30, "b", "c" * 250, "d", "e" * 20]
+    df = from_rows(spark, [(t, at(i / 10), i) for i, t in enumerate(texts)], "value string, ts timestamp_ntz, event_id bigint")
+    for rows_per_slice in (2, 100):
+        out = windows.window_concat(df, F.col("value"), part_rows=10, rows_per_slice=rows_per_slice).orderBy("part").collect()
+        # Ten bytes count as a row: 3 + 1 + 25 rows, then rows 29 and 30.
+        assert [(r["part"], r["text"]) for r in out] == [(0, "a" * 30 + "b" + "c" * 250), (2, "d"), (3, "e" * 20)]
+
+
 def test_backup(spark):
     data = [("s", "r", 2, "m2", at(2), 1), ("s", "r", 1, "m1", at(1), 2), ("t", "r", 9, "m3", at(9), 3)]
     df = from_rows(spark, data, "sender string, recipient string, sentAt bigint, message string, ts timestamp_ntz, event_id bigint")

@@ -207,6 +207,7 @@ def _running(df, keys, order_by, totals, slices=None, rows_per_slice=ROWS_PER_SL
 
 
 PART_ROWS = 100_000
+PART_BYTES = 64 * 1024 * 1024
 
 
 def ordered_parts(
@@ -219,23 +220,31 @@ def ordered_parts(
     rows_per_slice: int = ROWS_PER_SLICE,
     sums: Mapping[str, Column] | None = None,
     firsts: Mapping[str, Column] | None = None,
+    size: Column | None = None,
 ) -> DataFrame:
     """All values of each group as ordered arrays: ``groups, part, n, items``.
 
-    ``sums`` and ``firsts`` add totals and first values of each part.
+    ``sums`` and ``firsts`` add totals and first values of each part. ``size`` gives the
+    bytes of a value where these may be long: a value counts as several rows if it takes
+    more than its share of ``PART_BYTES``, so that long texts make parts shorter.
 
     A group of up to ``part_rows`` rows gives one row with ``part`` 0. A larger one gives
-    one row per ``part_rows`` rows, in order, so that nothing is lost and no task or cell
-    has to hold a whole hot group.
+    one row per ``part_rows`` rows, with rising ``part``, so that nothing is lost and no
+    task or cell has to hold a whole hot group.
     """
     order_by = tuple(order_by)
     sums, firsts = dict(sums or {}), dict(firsts or {})
+    weight = F.lit(1)
+    if size is not None:
+        share = max(1, PART_BYTES // part_rows)
+        weight = F.greatest(F.lit(1), F.ceil(F.coalesce(size, F.lit(0)) / share)).cast("bigint")
     ranked = _running(
-        df.select(*dict.fromkeys([*groups, *order_by]), value.alias("_value"),
+        df.select(*dict.fromkeys([*groups, *order_by]), value.alias("_value"), weight.alias("_weight"),
                   *[column.alias(f"_in_{name}") for name, column in (sums | firsts).items()]),
-        groups, order_by, {"_rank": F.lit(1)}, slices, rows_per_slice,
+        groups, order_by, {"_until": F.col("_weight")}, slices, rows_per_slice,
     )
-    parted = ranked.withColumn("part", F.call_function("div", F.col("_rank") - 1, F.lit(part_rows)))
+    before = F.col("_until") - F.col("_weight")
+    parted = ranked.withColumn("part", F.call_function("div", before, F.lit(part_rows)))
     position = F.struct(*order_by)
     pieces = parted.groupBy(*groups, "part", _SLICE).agg(
         F.count(F.lit(1)).alias("n"),

@@ -99,7 +99,8 @@ def window_concat(
     groups = [*keys, *_BOUNDS]
     firsts = {} if first_of is None else {"_first": F.col(first_of)}
     parts = ordered_parts(
-        _windowed(df, width, ts), groups, order_by, value, part_rows, slices, rows_per_slice, firsts=firsts
+        _windowed(df, width, ts), groups, order_by, value, part_rows, slices, rows_per_slice,
+        firsts=firsts, size=F.octet_length(value),
     )
     # Parts are few: a window over them sees one row per part_rows input rows.
     from_first = Window.partitionBy(*groups).orderBy("part")
@@ -165,7 +166,7 @@ def window_backup(
     """All messages of a window as one backup record (several parts if very many)."""
     parts = ordered_parts(
         _windowed(messages, width, ts), list(_BOUNDS), order_by, F.struct(*fields),
-        part_rows, slices, rows_per_slice,
+        part_rows, slices, rows_per_slice, size=F.octet_length(F.to_json(F.struct(*fields))),
     )
     return parts.select(*_BOUNDS, "part", "n", F.col("items").alias("inputMessages"))
 

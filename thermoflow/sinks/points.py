@@ -2,16 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from datetime import datetime
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from thermoflow.fixed_values import FLUSH_INTERVAL, POINTS_COMPRESSION, POINTS_PER_FILE
 from thermoflow.operators.points import as_lines
 
 
+FOLDERS = ("measurement", "day")
+
+
+def _with_day(points: DataFrame) -> DataFrame:
+    return points.withColumn("day", F.to_date("time"))
+
+
 def write_points(points: DataFrame, path: str, mode: str = "append", compression: str = "zstd") -> None:
-    """Store points by measurement, so that a query of one measurement reads nothing else."""
-    points.write.mode(mode).option("compression", compression).partitionBy("measurement").parquet(path)
+    """Store points by measurement and day, so that a query reads only the folders it asks for.
+
+    Rows are rebalanced by folder first: a quiet day gets one file, a busy one several.
+    """
+    placed = _with_day(points).hint("rebalance", *[F.col(name) for name in FOLDERS])
+    placed.write.mode(mode).option("compression", compression).partitionBy(*FOLDERS).parquet(path)
 
 
 def write_lines(points: DataFrame, path: str, fields: dict[str, str] | None = None,
@@ -28,7 +41,7 @@ def store_points(points: DataFrame, path: str, checkpoint: str, name: str = "poi
     time-series sink does.
     """
     return (
-        points.writeStream.format("parquet").queryName(name).partitionBy("measurement").outputMode("append")
+        _with_day(points).writeStream.format("parquet").queryName(name).partitionBy(*FOLDERS).outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": FLUSH_INTERVAL}))
         .start(path)
@@ -56,6 +69,14 @@ def store_batches(df: DataFrame, path: str, checkpoint: str, output_mode: str =
     )
 
 
-def read_points(spark: SparkSession, path: str, measurement: str | None = None) -> DataFrame:
+def read_points(
+    spark: SparkSession, path: str, measurement: str | None = None, since: datetime | None = None
+) -> DataFrame:
+    """Stored points, of one measurement and from a time on if given: only those folders are read."""
     points = spark.read.parquet(path)
-    return points if measurement is None else points.where(points.measurement == measurement)
+    if measurement is not None:
+        points = points.where(F.col("measurement") == measurement)
+    if since is not None:
+        kind = points.schema["time"].dataType
+        points = points.where((F.col("day") >= F.lit(since.date())) & (F.col("time") >= F.lit(since).cast(kind)))
+    return points.drop("day")
