@@ -129,7 +129,7 @@ CASE WHEN epoch_us({ts}) // {_SLICE_US} = epoch_us({before}) // {_SLICE_US} THEN
 
 _STREAM_WARNED = _warnings() + f""",
 emitted AS (SELECT * FROM warned WHERE {_emitted('ts', 'prev_ts', _HOUR_US, _CLOSED)})"""
-_ALERT_DELAY = 2 * (_HOUR_US + _SLICE_US) + _SLICE_US
+_ALERT_DELAY = _HOUR_US + 2 * _SLICE_US
 _ALERTS_CLOSED = f"(SELECT epoch_us(max(ts)) // 1000 * 1000 - {_ALERT_DELAY} FROM emitted)"
 
 _HISTOGRAM = """

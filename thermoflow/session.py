@@ -57,14 +57,14 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local session may fall back to a temporary folder: on a cluster such a
     folder would differ from machine to machine.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="thermoflow-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="thermoflow-"))
+    return context.getCheckpointDir()
 
 
 def working_path(spark: SparkSession, name: str) -> str:
