@@ -69,6 +69,19 @@ def test_slices_of_a_larger_table_serve_a_filter(skewed):
         previous_row(few, (), ("event_id",), ("ts",), slices=Slices(READING_ORDER, ((1, 1),)))
 
 
+def test_only_times_and_whole_numbers_order(skewed):
+    with pytest.raises(TypeError, match="room_id"):
+        previous_row(skewed, (), ("ts", "room_id"), ("ts",))
+
+
+def test_rows_without_a_time_are_kept_and_come_first(spark):
+    data = [(None, 1), (at(1), 2), (None, 3), (at(0), 4), (at(2), 5)]
+    df = spark.createDataFrame(data, "ts timestamp_ntz, event_id bigint")
+    for rows_per_slice in (1, 100):
+        out = running_totals(df, (), READING_ORDER, {"n": F.lit(1)}, rows_per_slice=rows_per_slice)
+        assert rows(out, "n", "event_id") == [(1, 1), (2, 3), (3, 4), (4, 2), (5, 5)]
+
+
 def test_empty_table(spark, skewed):
     assert len(plan_slices(skewed.limit(0), READING_ORDER, 1)) == 1
     assert previous_row(skewed.limit(0), (), READING_ORDER, ("ts",)).count() == 0

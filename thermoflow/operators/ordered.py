@@ -70,12 +70,16 @@ def _not_after(border: list[Column], position: list[Column]) -> Column:
 
 
 def _positions(df: DataFrame, order_by: Sequence[str]) -> list[Column]:
+    """The order columns as whole numbers with the same order."""
     out = []
     for name in order_by:
-        if isinstance(df.schema[name].dataType, (T.TimestampType, T.TimestampNTZType)):
+        kind = df.schema[name].dataType
+        if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
             out.append(as_micros(F.col(name)))
-        else:
+        elif isinstance(kind, T.IntegralType):
             out.append(F.col(name).cast("bigint"))
+        else:
+            raise TypeError(f"order by times and whole numbers, not by {name} of type {kind.simpleString()}")
     return out
 
 

@@ -52,7 +52,7 @@ def running_word_count(
     """The count of each word so far, one row per word occurrence.
 
     Occurrences are ordered by the text's order columns, then by position in the text.
-    Slices are cut between texts, in proportion to their number of words.
+    Slices hold about equal numbers of words, so even one very long text is spread.
     """
     words = texts.select(*order_by, F.posexplode(split_tokens(F.col(text), " ")).alias("position", "word"))
     order = (*order_by, "position")
