@@ -80,6 +80,14 @@ def test_topic_options():
         kafka.source_options("t", "b", start="middle")
 
 
+def test_arrival_ids(spark):
+    places = [(0, 0), (0, 7), (1, 3), (300, 10**12)]
+    df = kafka.with_arrival_id(from_rows(spark, [("k", p, o) for p, o in places], "key string, partition int, offset bigint"))
+    assert df.columns == ["key", "event_id"]
+    ids = [r["event_id"] for r in df.collect()]
+    assert ids == sorted(set(ids))
+
+
 def test_topic_rows(spark):
     df = from_rows(spark, [("1", 5, "x")], "room string, n int, text string")
     assert rows(kafka.keyed_rows(df, ("room", "n"), "text")) == [("1|5", "x")]

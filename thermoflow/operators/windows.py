@@ -1,4 +1,9 @@
-"""Tumbling event-time windows and their aggregates (batch and streaming)."""
+"""Tumbling event-time windows and their aggregates.
+
+Means, sums and arg-max rows run on tables and on streams. Texts, value lists and
+backups need the order of rows and run on tables; ``streaming.windows`` has them for
+streams.
+"""
 
 from __future__ import annotations
 

@@ -36,10 +36,16 @@ def read_topic(spark: SparkSession, topic: str, servers: str, **options) -> Data
     return spark.readStream.format("kafka").options(**source_options(topic, servers, **options)).load()
 
 
+def with_arrival_id(records: DataFrame, name: str = "event_id") -> DataFrame:
+    """Replace a record's partition and offset by one unique number in that order."""
+    number = F.shiftleft(F.col("partition").cast("bigint"), 44) + F.col("offset")
+    return records.withColumn(name, number).drop("partition", "offset")
+
+
 def read_readings(spark: SparkSession, topic: str, servers: str, strict: bool = False, **options) -> DataFrame:
-    """Decoded readings of a topic; partition and offset order readings of equal time."""
+    """Decoded readings of a topic; their place in it is the ``event_id`` that orders equal times."""
     records = read_topic(spark, topic, servers, **options).select("key", "value", "partition", "offset")
-    return decode_wire(records, strict)
+    return decode_wire(with_arrival_id(records), strict)
 
 
 def read_strings(spark: SparkSession, topic: str, servers: str, **options) -> DataFrame:

@@ -22,15 +22,14 @@ def stream_parts(
     value: Column,
     width: str = AVERAGE_WINDOW,
     keys: Sequence[str] = (),
-    slice_width: str | None = None,
+    slice_width: str = "1 second",
     order_by: Sequence[str] = READING_ORDER,
 ) -> DataFrame:
     """The values of each window in order: ``keys, window_start, window_end, part, n, items``.
 
-    ``part`` is the number of the slice within the window, counting empty slices. With
-    no ``slice_width`` the whole window is one part 0.
+    ``part`` is the number of the slice within the window, counting empty slices. A slice
+    as wide as the window makes it one part 0.
     """
-    slice_width = slice_width or width
     step, whole = duration_micros(slice_width), duration_micros(width)
     if whole % step:
         raise ValueError(f"{width} is not a multiple of {slice_width}")
@@ -52,7 +51,7 @@ def stream_parts(
 
 def stream_concat(
     df: DataFrame, value: Column, width: str = AVERAGE_WINDOW, keys: Sequence[str] = (), separator: str = "",
-    slice_width: str | None = None, text: str = "text", order_by: Sequence[str] = READING_ORDER,
+    slice_width: str = "1 second", text: str = "text", order_by: Sequence[str] = READING_ORDER,
 ) -> DataFrame:
     """The values of each window joined to texts, one per part."""
     parts = stream_parts(df, value, width, keys, slice_width, order_by)
@@ -62,7 +61,7 @@ def stream_concat(
 def stream_backup(
     messages: DataFrame, width: str = AVERAGE_WINDOW,
     fields: Sequence[str] = ("sender", "recipient", "sentAt", "message"),
-    slice_width: str | None = None, order_by: Sequence[str] = READING_ORDER,
+    slice_width: str = "1 second", order_by: Sequence[str] = READING_ORDER,
 ) -> DataFrame:
     """The messages of each window as backup records, one per part."""
     parts = stream_parts(messages, F.struct(*fields), width, (), slice_width, order_by)
