@@ -1,7 +1,6 @@
 import math
 
 from conftest import at, rows, same_rows
-from pyspark.sql import functions as F
 
 from thermoflow.operators.relation import int_relation, relation, relation_by_join
 from thermoflow.plans.main_job import window_points

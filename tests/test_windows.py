@@ -5,8 +5,6 @@ from thermoflow.operators import ordered, windows
 from thermoflow.operators.keying import key_at, rebalance, with_partition, write_by_partition
 from thermoflow.sources.memory import from_rows
 
-EPOCH = "timestamp_micros(%s * 1000000)"
-
 
 def by_value(spark, data, schema):
     """Event time taken from the value itself, in seconds since 1970."""
