@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from thermoflow.session import working_path
@@ -24,6 +28,36 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once for each application.
+
+    Functions that run in Python workers import it there. Spark serves the file from the driver.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if os.path.isdir(package):
+        path = os.path.join(tempfile.mkdtemp(prefix="package-"), f"{os.path.basename(package)}.zip")
+        with zipfile.ZipFile(path, "w") as out:
+            for folder, _, names in os.walk(package):
+                for name in sorted(names):
+                    if name.endswith(".py"):
+                        full = os.path.join(folder, name)
+                        out.write(full, os.path.relpath(full, os.path.dirname(package)))
+        context.addPyFile(path)
+    _SHIPPED.add(context.applicationId)
+
+
+def map_arrow(df: DataFrame, function, schema) -> DataFrame:
+    """``mapInArrow`` with this package at hand in the workers."""
+    ship(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
 def text_of(column: str = "text") -> Column:
     """The text, a null one as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

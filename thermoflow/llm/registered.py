@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from thermoflow.llm import quality_rules
+import re
 
-_MODULES = (quality_rules,)
+from thermoflow.llm import quality_rules, token_counts
+
+_MODULES = (quality_rules, token_counts)
 
 QUERIES = {
-    name: query for module in _MODULES for name, query in vars(module).items() if name.startswith("op")
+    name: query for module in _MODULES for name, query in vars(module).items() if re.match(r"op\d+_", name)
 }
 ORACLES = {
     name: module.SQL for module in _MODULES if hasattr(module, "SQL") for name in QUERIES if name in vars(module)
