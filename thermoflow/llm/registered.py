@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import re
 
-from thermoflow.llm import quality_rules, token_counts
+from thermoflow.llm import quality_rules, secret_scans, token_counts, toxicity
 
-_MODULES = (quality_rules, token_counts)
+_MODULES = (quality_rules, secret_scans, token_counts, toxicity)
 
 QUERIES = {
     name: query for module in _MODULES for name, query in vars(module).items() if re.match(r"op\d+_", name)
