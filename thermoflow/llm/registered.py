@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import re
 
-from thermoflow.llm import quality_rules, secret_scans, substring_dedup, token_counts, toxicity
+from thermoflow.llm import (
+    ngram_jaccard_join, quality_rules, secret_scans, substring_dedup, token_counts, toxicity,
+)
 
-_MODULES = (quality_rules, secret_scans, substring_dedup, token_counts, toxicity)
+_MODULES = (
+    quality_rules, ngram_jaccard_join, secret_scans, token_counts, substring_dedup, toxicity,
+)
 
 QUERIES = {
     name: query for module in _MODULES for name, query in vars(module).items() if re.match(r"op\d+_", name)
