@@ -9,8 +9,8 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-#: Bits of a filter: 16 for each key, within these bounds (as powers of two). The upper one is 8 MB.
-LEAST_BITS, MOST_BITS = 16, 26
+#: Bits of a filter, within these bounds (as powers of two). The upper one is 16 MB.
+LEAST_BITS, MOST_BITS = 16, 27
 
 
 class Membership:
@@ -22,18 +22,21 @@ class Membership:
     def might_have(self, keys: np.ndarray) -> np.ndarray:
         keys = keys.astype(np.uint64, copy=False)
         mask = np.uint64(len(self.words) * 64 - 1)
-        found = np.ones(len(keys), dtype=bool)
-        for position in (keys & mask, (keys >> np.uint64(34)) & mask):
-            word = self.words[(position >> np.uint64(6)).astype(np.int64)]
-            found &= (word >> (position & np.uint64(63))) & np.uint64(1) != 0
+        found = self._is_set(keys & mask)
+        hits = np.flatnonzero(found)
+        found[hits] = self._is_set((keys[hits] >> np.uint64(34)) & mask)
         return found
 
+    def _is_set(self, position: np.ndarray) -> np.ndarray:
+        word = self.words[(position >> np.uint64(6)).view(np.int64)]
+        return (word >> (position & np.uint64(63))) & np.uint64(1) != 0
 
-def membership(keys: DataFrame, key: Column) -> Membership:
+
+def membership(keys: DataFrame, key: Column, bits_per_key: int = 16) -> Membership:
     """A filter over a column of 64-bit hashes. The bitmap is put together by an aggregation."""
     keys = keys.select(key.alias("key"))
     count = keys.count()
-    bits = min(max((16 * count).bit_length(), LEAST_BITS), MOST_BITS)
+    bits = min(max((bits_per_key * count).bit_length(), LEAST_BITS), MOST_BITS)
     mask = F.lit((1 << bits) - 1)
     positions = keys.select(F.explode(F.array(
         F.col("key").bitwiseAND(mask), F.shiftrightunsigned("key", 34).bitwiseAND(mask)

@@ -5,11 +5,13 @@ from __future__ import annotations
 import re
 
 from thermoflow.llm import (
-    ngram_jaccard_join, quality_rules, secret_scans, substring_dedup, token_counts, toxicity,
+    decontamination, ngram_jaccard_join, quality_rules, secret_scans, substring_dedup, token_counts,
+    toxicity,
 )
 
 _MODULES = (
-    quality_rules, ngram_jaccard_join, secret_scans, token_counts, substring_dedup, toxicity,
+    quality_rules, ngram_jaccard_join, secret_scans, decontamination, token_counts, substring_dedup,
+    toxicity,
 )
 
 QUERIES = {
