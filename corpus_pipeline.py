@@ -1,13 +1,73 @@
-"""The corpus pipeline: stages over the table of documents, each written and read again."""
+"""The corpus pipeline: stages over the table of documents, each written and read again.
+
+Every stage but the last returns the columns of its input. Rows without an id are judged like any
+other; rows that repeat an id count as one document where one of a group stays. Null texts are kept by all
+stages (they have no words). Empty tables give empty tables.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from thermoflow.llm import decontamination, line_dedup, ngram_jaccard_join, pfair_mixing, toxicity
+from thermoflow.llm.common import read, written
+
+
+def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Toxic documents go. The classifier learns from the labelled ones that are not held out."""
+    model = toxicity.fit_model(docs, read(spark, sf_dir, "labels"))
+    return toxicity.without_toxic(docs, model)
+
+
+def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated lines go, and documents of which nothing but blanks is left by that."""
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text")
+    deduped = line_dedup.remove_lines(rows).where(
+        (F.col("n_removed") == 0) | F.col("text").rlike(r"[^ \t-\r]")
+    )
+    changed = {"text": F.col("text"), "n_chars": F.length("text").cast("bigint")}
+    return deduped.select(*[
+        F.when(F.col("n_removed") > 0, changed[c]).otherwise(F.col("row")[c]).alias(c) if c in changed else F.col("row")[c].alias(c)
+        for c in docs.columns
+    ])
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near duplicates the document with the least id stays."""
+    classes = ngram_jaccard_join.near_duplicates(docs.select("doc_id", "text"))
+    stays = classes.where("doc_id = class_id").select("doc_id").distinct()
+    # Rows that repeat an id: the least one stays.
+    rows = docs.select("doc_id", F.struct(*docs.columns).alias("row"))
+    kept = rows.join(stays, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("row").alias("row"))
+    return kept.select("row.*").unionByName(docs.where("doc_id IS NULL"))
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that overlap with the benchmark go."""
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64("doc_id", "text").alias("key"), "text")
+    leaks = decontamination.contaminated(rows.select(F.col("key").alias("doc_id"), "text"), read(spark, sf_dir, "benchmark"))
+    return rows.join(leaks.withColumnRenamed("doc_id", "key"), "key", "left_anti").select("row.*")
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with their place in a mixture of the sources."""
+    return pfair_mixing.mix(docs)
+
 
-STAGES: list = []
+STAGES = [
+    ("toxicity", toxicity_filter),
+    ("line_dedup", line_dedup_stage),
+    ("ngram_jaccard_join", near_duplicate_stage),
+    ("decontamination", decontamination_stage),
+    ("mixing", mixing_stage),
+]
 
+#: A trained classifier and hashed signatures can't be expressed in SQL; the tests compare with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = read(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

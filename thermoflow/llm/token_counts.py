@@ -10,7 +10,7 @@ are look-ups; only the one word that straddles a budget needs the counts of its
 Each worker keeps the counts of words it has met, at most ``MEMORY`` words at a time.
 
 Null text: as empty, 0 tokens. Repeated rows, null ids and other columns pass through
-unchanged. A text of any length is read whole; a batch is worked on in slices of a few megabytes.
+unchanged; columns named like a result are replaced by it. A text of any length is read whole; a batch is worked on in slices of a few megabytes.
 """
 
 from __future__ import annotations
@@ -102,13 +102,10 @@ def prefix_tables(df: DataFrame, path: str | None = None, text: str = "text", ta
     ``tables`` also ``prefix_ends`` and ``prefix_tokens``, the table of each text.
     """
     path = path or vocabulary_path()
-    kept = [c for c in df.columns if c != text]
     added = [T.StructField("n_tokens", T.LongType()), T.StructField("fitting_chars", T.LongType())]
     if tables:
         added += [T.StructField(n, T.ArrayType(T.IntegerType())) for n in ("prefix_ends", "prefix_tokens")]
-    clash = {f.name for f in added} | {"n_bytes"}
-    if clash & set(kept):
-        raise ValueError(f"rename these columns first: {sorted(clash & set(kept))}")
+    kept = [c for c in df.columns if c not in {text, "n_bytes", *(f.name for f in added)}]
     body = df.select(*kept, text_of(text).alias(text)).withColumn("n_bytes", F.octet_length(text).cast("bigint"))
     schema = T.StructType([f for f in body.schema if f.name != text] + added)
 

@@ -177,32 +177,57 @@ def fit_model(documents: DataFrame, labels: DataFrame, doc_id: str = "doc_id", t
             float(bias.iloc[0]) if len(bias) else float(np.log(0.5 / 1.5)))
 
 
+def _scorer(model):
+    """A function from normalised texts to scores."""
+    features, weights, bias = model
+    table = np.zeros(1 << BITS)
+    table[features] = weights
+    wanted = np.zeros(1 << BITS, dtype=bool)
+    wanted[features] = True
+
+    def scores(texts: list[str]) -> np.ndarray:
+        owner, feature = _distinct(texts, wanted)
+        margin = bias + np.bincount(owner, table[feature], minlength=len(texts))
+        return 1 / (1 + np.exp(-np.clip(margin, -700, 700)))
+
+    return scores
+
+
 def with_scores(df: DataFrame, model: tuple[np.ndarray, np.ndarray, float], text: str = "text",
                 score: str = "score") -> DataFrame:
-    """The input without its text and with a score for each row."""
-    spark = df.sparkSession
-    sent = spark.sparkContext.broadcast(model)
-    kept = [c for c in df.columns if c != text]
+    """The input without its text and with a score for each row (in place of a column of that name)."""
+    sent = df.sparkSession.sparkContext.broadcast(model)
+    kept = [c for c in df.columns if c not in (text, score)]
     body = df.select(*kept, normal_text(text).alias(text))
     schema = body.select(*kept).schema.add(score, "double")
 
     def score_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features, weights, bias = sent.value
-        table = np.zeros(1 << BITS)
-        table[features] = weights
-        wanted = np.zeros(1 << BITS, dtype=bool)
-        wanted[features] = True
+        scores = _scorer(sent.value)
         for batch in slices(batches, text, 1 << 20):
-            texts = batch.column(text).to_pylist()
-            owner, feature = _distinct(texts, wanted)
-            margin = bias + np.bincount(owner, table[feature], minlength=len(texts))
-            scores = 1 / (1 + np.exp(-np.clip(margin, -700, 700)))
             rest = batch.drop_columns([text])
-            yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(scores)], names=[*rest.schema.names, score])
+            yield pa.RecordBatch.from_arrays(
+                [*rest.columns, pa.array(scores(batch.column(text).to_pylist()))], names=[*rest.schema.names, score]
+            )
 
     return map_arrow(body, score_batches, schema)
 
 
+def without_toxic(df: DataFrame, model: tuple[np.ndarray, np.ndarray, float], text: str = "text",
+                  threshold: float = THRESHOLD) -> DataFrame:
+    """The rows that score below the threshold, with all their columns."""
+    sent = df.sparkSession.sparkContext.broadcast(model)
+    # The rows travel as one column, so no name of theirs can clash.
+    body = df.select(F.struct(*df.columns).alias("row"), normal_text(text).alias("plain"))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scores = _scorer(sent.value)
+        for batch in slices(batches, "plain", 1 << 20):
+            clean = scores(batch.column("plain").to_pylist()) < threshold
+            yield batch.select(["row"]).filter(pa.array(clean))
+
+    return map_arrow(body, keep, body.select("row").schema).select("row.*")
+
+
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     documents = read(spark, folder, "documents").select("doc_id", "text")
     model = fit_model(documents, read(spark, folder, "labels"))
