@@ -95,7 +95,7 @@ def _prefix_keys(signatures: np.ndarray, length: int) -> np.ndarray:
 
 def _sketches(signatures: np.ndarray) -> np.ndarray:
     """Two bits of every minhash, in 64-bit numbers."""
-    fields = (signatures & np.uint64(3)).reshape(len(signatures), -1, 32)
+    fields = (signatures & np.uint64(3)).reshape(len(signatures), _SIGNATURE // 32, 32)
     shifts = np.arange(32, dtype=np.uint64) * np.uint64(2)
     return np.bitwise_or.reduce(fields << shifts, axis=2)
 
