@@ -88,12 +88,13 @@ def edits(a, b):
 
 
 def simhash(line):
-    h = np.array([xxhash.xxh64_intdigest(w.encode(), seed=42) for w in line.split(" ")], dtype=np.uint64)
+    h = np.array([xxhash.xxh64_intdigest(w.encode(), seed=42) for w in set(line.split(" "))], dtype=np.uint64)
+    h = np.sort(h.view(np.int64))[:16].view(np.uint64)
     ones = ((h[:, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)).sum(0)
     return sum(1 << i for i in range(64) if ones[i] * 2 > len(h))
 
 
-def removed_lines(texts, similarity=0.8, apart=3):
+def removed_lines(texts, similarity=0.8, apart=2):
     blank = regex.compile(r"[^\p{L}\p{N}\n]+")
     places, first = [], {}
     for d in sorted(texts):
