@@ -27,7 +27,7 @@ from thermoflow.llm.batches import BASE, mixed, slices
 from thermoflow.llm.common import map_arrow, read, ship, text_of
 
 #: Labelled rows that train, about.
-SAMPLE = 20_000
+SAMPLE = 10_000
 #: Weights kept, at most.
 FEATURES = 30_000
 SIZES = (3, 4, 5, 6)
@@ -81,7 +81,7 @@ def _distinct(texts: list[str], wanted: np.ndarray | None = None) -> tuple[np.nd
     return keys >> BITS, keys & ((1 << BITS) - 1)
 
 
-def _pieces(texts: list[str], limit: int = 1 << 20) -> Iterator[tuple[int, list[str]]]:
+def _pieces(texts: list[str], limit: int = 1 << 18) -> Iterator[tuple[int, list[str]]]:
     """Runs of texts of about ``limit`` characters, with the index of the first."""
     first = size = 0
     for i, t in enumerate(texts):
@@ -203,7 +203,7 @@ def with_scores(df: DataFrame, model: tuple[np.ndarray, np.ndarray, float], text
 
     def score_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scores = _scorer(sent.value)
-        for batch in slices(batches, text, 1 << 20):
+        for batch in slices(batches, text, 1 << 18):
             rest = batch.drop_columns([text])
             yield pa.RecordBatch.from_arrays(
                 [*rest.columns, pa.array(scores(batch.column(text).to_pylist()))], names=[*rest.schema.names, score]
@@ -221,7 +221,7 @@ def without_toxic(df: DataFrame, model: tuple[np.ndarray, np.ndarray, float], te
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scores = _scorer(sent.value)
-        for batch in slices(batches, "plain", 1 << 20):
+        for batch in slices(batches, "plain", 1 << 18):
             clean = scores(batch.column("plain").to_pylist()) < threshold
             yield batch.select(["row"]).filter(pa.array(clean))
 
