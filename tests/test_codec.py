@@ -72,12 +72,31 @@ def test_fixed_rows(spark):
 def test_topic_options():
     assert kafka.source_options("t", "b:9092", "g", "earliest", 10) == {
         "kafka.bootstrap.servers": "b:9092", "subscribe": "t", "startingOffsets": "earliest",
-        "kafka.group.id": "g", "maxOffsetsPerTrigger": "10",
+        "groupIdPrefix": "g", "maxOffsetsPerTrigger": "10",
     }
     assert kafka.source_options("t", "b")["startingOffsets"] == "latest"
     assert kafka.sink_options("t", "b") == {"kafka.bootstrap.servers": "b", "topic": "t"}
+    assert kafka.source_options("t", "b", fixed_group="own", max_records_per_batch=None)["kafka.group.id"] == "own"
+    assert "maxOffsetsPerTrigger" in kafka.source_options("t", "b")
+    assert "maxOffsetsPerTrigger" not in kafka.source_options("t", "b", max_records_per_batch=None)
     with pytest.raises(ValueError):
         kafka.source_options("t", "b", start="middle")
+    with pytest.raises(ValueError):
+        kafka.source_options("t", "b", "g", fixed_group="own")
+
+
+def test_hostile_records_are_dead_letters(spark):
+    room = '{"roomId":"1_IN"}'
+    bad = [
+        (room, '{"value":1,"timestamp":-9223372036854775808}'), (room, '{"value":1,"timestamp":9223372036854775807}'),
+        (room, '{"value":1,"timestamp":1e300}'), (room, '{"value":{"a":1},"timestamp":5}'), (room, '{"value":3000000000,"timestamp":5}'),
+        ('{"roomId":"7_XX"}', '{"value":1,"timestamp":5}'), ("", ""), (None, None), (room, '{"value":"","timestamp":5}'),
+    ]
+    decoded = codec.decode_wire(from_rows(spark, bad + [(room, '{"value":27.9,"timestamp":"5"}')], "key string, value string"))
+    assert [r["error"] for r in codec.dead_letters(decoded).where("key LIKE '%XX%'").collect()] == ["unknown source"]
+    assert codec.dead_letters(decoded).count() == len(bad) and codec.accepted(decoded).count() == 1
+    anything = codec.decode_wire(from_rows(spark, bad[5:6], "key string, value string"), sources=None)
+    assert codec.accepted(anything).first()["source"] == "XX"
 
 
 def test_arrival_ids(spark):

@@ -8,6 +8,12 @@ from thermoflow.operators.patterns import alerts, compat_alerts, warnings
 HOT = ("room_id", "ts", "avg_temperature")
 
 
+def test_largest_temperatures_do_not_overflow(readings):
+    most = 2**31 - 1
+    out = warnings(readings([("0", "IN", 0, most), ("0", "IN", 1, most)]))
+    assert rows(out, "avg_temperature") == [(float(most),)]
+
+
 def test_contiguity(readings):
     assert warnings(readings([("0", "IN", 0, 31), ("0", "IN", 1, 12), ("0", "IN", 2, 33)])).count() == 0
 

@@ -20,6 +20,15 @@ def test_reading_points(spark, readings, tmp_path):
     assert sorted(r.value for r in spark.read.text(str(tmp_path / "lines")).collect()) == lines
 
 
+def test_line_protocol_leaves_out_what_no_store_accepts(spark):
+    bad = [float("inf"), float("-inf"), float("nan"), None, 2.5]
+    df = from_rows(spark, [("m", at(0), "a\nb\r", "", v) for v in bad],
+                   "measurement string, time timestamp_ntz, room string, source string, value double")
+    assert rows(points.as_lines(df)) == [("m,room=a\\ b\\  value=2.5 1704067200000000000",)]
+    text = points.line_protocol(F.lit("m"), {}, {"s": (F.lit("two\nlines"), "string")}, F.col("time"))
+    assert df.select(text).first()[0] == 'm s="two lines" 1704067200000000000'
+
+
 def test_line_protocol_escapes(spark):
     df = from_rows(spark, [("a b,c", at(0), "r 1,=", None, 1.5), ("m", at(0), "x", "y", None)],
                    "measurement string, time timestamp_ntz, room string, source string, value double")

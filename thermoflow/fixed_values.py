@@ -28,7 +28,7 @@ ALLOWED_LATENESS = "500 milliseconds"
 METER_WINDOW = "5 seconds"
 HISTOGRAM_SIZE = 10_000
 
-# Sink batching of the points store.
+# Sink batching of a time-series store, for sinks that write to one.
 POINTS_PER_FILE = 1000
 FLUSH_INTERVAL = "100 milliseconds"
 POINTS_COMPRESSION = "gzip"

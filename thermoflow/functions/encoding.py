@@ -9,7 +9,12 @@ from pyspark.sql import Column, functions as F
 from thermoflow.functions.time import as_micros
 
 
+def _one_line(text: Column) -> Column:
+    return F.translate(text, "\r\n", "  ")
+
+
 def _escape(text: Column, special: str) -> Column:
+    text = _one_line(text)
     for character in special:
         text = F.replace(text, F.lit(character), F.lit("\\" + character))
     return text
@@ -25,10 +30,12 @@ def line_protocol(
 
     Tags and fields are written in name order; NULL tags are left out, as the format
     has no empty tag. A field comes with its kind: ``"double"``, ``"int"`` (written
-    with the suffix ``i``) or ``"string"`` (quoted). Rows without any field give NULL.
+    with the suffix ``i``) or ``"string"`` (quoted). NULL fields, and doubles that are not
+    finite, are left out; rows without any field give NULL. So are empty tags. Line breaks,
+    which would split a record, become blanks in names, tags and texts.
     """
     tag_texts = [
-        F.when(value.isNotNull(), F.concat(F.lit(f"{name}="), _escape(value, ",= ")))
+        F.when(value != "", F.concat(F.lit(f"{name}="), _escape(value, ",= ")))
         for name, value in sorted(tags.items())
     ]
     field_texts = [
@@ -42,10 +49,11 @@ def line_protocol(
 
 def _field(value: Column, kind: str) -> Column:
     if kind == "double":
-        return value.cast("double").cast("string")
+        number = value.cast("double")
+        return F.when(~F.isnan(number) & (F.abs(number) != float("inf")), number.cast("string"))
     if kind == "int":
         return F.concat(value.cast("bigint").cast("string"), F.lit("i"))
     if kind == "string":
-        quoted = F.replace(F.replace(value, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
+        quoted = F.replace(F.replace(_one_line(value), F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
         return F.concat(F.lit('"'), quoted, F.lit('"'))
     raise ValueError(f"unknown field kind {kind!r}")

@@ -10,8 +10,8 @@ from thermoflow.fixed_values import BANDS
 
 
 def int_mean(total: Column, count: Column) -> Column:
-    """Whole-number mean, cut towards zero."""
-    return F.call_function("div", total, count)
+    """Whole-number mean, cut towards zero; NULL where nothing was counted."""
+    return F.call_function("div", total, F.nullif(count, F.lit(0)))
 
 
 def ratio(numerator: Column, denominator: Column, ieee: bool = False) -> Column:

@@ -28,10 +28,6 @@ def as_micros(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp"))
 
 
-def seconds_between(earlier: Column, later: Column) -> Column:
-    return (as_micros(later) - as_micros(earlier)) / 1_000_000
-
-
 def closer_than(earlier: Column, later: Column, duration: str) -> Column:
     """``later - earlier < duration``, strictly."""
     return as_micros(later) - as_micros(earlier) < F.lit(duration_micros(duration))

@@ -2,63 +2,73 @@
 
 A plain ``Window.partitionBy(room).orderBy(ts)`` sends all rows of a room to one task.
 Here the rows are first cut into *slices*: consecutive stretches of the total order
-``order_by`` with about the same number of rows each, whatever the keys and however
-uneven the times. Inside ``(keys, slice)`` a normal window does the work; what a slice
-must know about earlier ones (the last row, the totals so far) enters it as one extra
-*opening row* per key. No row is copied, and no task holds more than one slice.
-
-Slice borders are plain literals fixed before the query runs, so a task that is run
-again after an executor loss puts every row in the same slice as before.
+``order_by``, whatever the keys. A slice is a span of the first order column (a day, say);
+a span that is too full is cut further, by borders on all order columns, so that a busy
+hour, or even one instant with a third of all rows, is spread as well. Inside ``(keys, slice)``
+a normal window does the work; what a slice must know about earlier ones (the last row, the
+totals so far) is joined to it, as one row per key and slice.
+
+There is one plan for every size. Rows are shuffled once, by key and slice, and that one
+exchange serves the windows and the summaries of the slices.
+
+Borders come from one pass over the order columns, as a small table in the shared folder with one row
+for each span that is too full. It is written before the query runs, so a task that is run again
+after an executor loss puts every row in the same slice as before. The pass looks at a sample of
+about ``SAMPLES_PER_SLICE`` positions per slice, which only places borders: slices have about
+``rows_per_slice`` rows at most, give or take a third.
 """
 
 from __future__ import annotations
 
-import json
-import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from thermoflow.functions.time import as_micros
+from thermoflow.functions.time import as_micros, duration_micros
+from thermoflow.session import working_path
 
 ROWS_PER_SLICE = 1_000_000
-MAX_SLICES = 20_000
 SAMPLES_PER_SLICE = 10
+#: Spans of the first order column: of times, and of whole numbers.
+TIME_SPAN, NUMBER_SPAN = "1 day", 1 << 16
+#: Up to so many borders (of 16 bytes or so each) are sent to every executor; more are joined by a shuffle.
+MOST_SENT = 4_000_000
 
 _SLICE = "_slice"
-_OPENING = "_opening"
+_GROUP = "_group"
+_LEAST = -(2**63)
 
 
 @dataclass(frozen=True)
 class Slices:
-    """Borders of the slices of a total order: the first position of each slice but the first."""
+    """How a total order is cut. ``borders`` has the first position of each slice but the first of a span."""
 
     order_by: tuple[str, ...]
-    borders: tuple[tuple[int, ...], ...] = field(default=(), repr=False)
-
-    def __len__(self) -> int:
-        return len(self.borders) + 1
+    span: int
+    borders: DataFrame | None = field(default=None, repr=False)
+    longest: int = 0
+    count: int = 0
 
     def add_to(self, df: DataFrame, name: str) -> DataFrame:
-        """Add the slice of each row: how many borders are at or before it.
+        """Add the slice of each row, as a struct that orders like the rows do.
 
-        A binary search, written as one column per halving so that every step is plain
-        generated code over the border arrays, which are constants of the plan.
+        Its second field is how many borders of its span are at or before the row: a binary
+        search, written as one column per halving so that every step is plain generated code.
         """
-        count = len(self.borders)
-        if count == 0:
-            return df.withColumn(name, F.lit(0))
         at = [f"_at_{i}" for i in range(len(self.order_by))]
-        borders = [
-            F.from_json(F.lit(json.dumps(values)), "array<bigint>") for values in zip(*self.borders)
-        ]
-        df = df.withColumns({**dict(zip(at, _positions(df, self.order_by))), name: F.lit(0)})
-        for bit in reversed(range(count.bit_length())):
-            upper = F.col(name) + (1 << bit)
-            not_after = _not_after([F.get(b, upper - 1) for b in borders], [F.col(c) for c in at])
-            df = df.withColumn(name, F.when((upper <= count) & not_after, upper).otherwise(F.col(name)))
-        return df.drop(*at)
+        df = df.withColumns(dict(zip(at, _positions(df, self.order_by))))
+        df = df.withColumns({"_span": F.call_function("div", F.col(at[0]), F.lit(self.span)), "_cut": F.lit(0)})
+        if self.longest:
+            table = F.broadcast(self.borders) if self.count <= MOST_SENT else self.borders
+            df = df.join(table, F.col("_span") == F.col("_of_span"), "left")
+            for bit in reversed(range(self.longest.bit_length())):
+                upper = F.col("_cut") + (1 << bit)
+                border = F.get("_borders", upper - 1)
+                not_after = _not_after([border[c] for c in at], [F.col(c) for c in at])
+                df = df.withColumn("_cut", F.when(border.isNotNull() & not_after, upper).otherwise(F.col("_cut")))
+            df = df.drop("_of_span", "_borders")
+        return df.withColumn(name, F.struct("_span", "_cut")).drop("_span", "_cut", *at)
 
 
 def _not_after(border: list[Column], position: list[Column]) -> Column:
@@ -70,16 +80,17 @@ def _not_after(border: list[Column], position: list[Column]) -> Column:
 
 
 def _positions(df: DataFrame, order_by: Sequence[str]) -> list[Column]:
-    """The order columns as whole numbers with the same order."""
+    """The order columns as whole numbers with the same order, NULL as the least."""
     out = []
     for name in order_by:
         kind = df.schema[name].dataType
         if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-            out.append(as_micros(F.col(name)))
+            number = as_micros(F.col(name))
         elif isinstance(kind, T.IntegralType):
-            out.append(F.col(name).cast("bigint"))
+            number = F.col(name).cast("bigint")
         else:
             raise TypeError(f"order by times and whole numbers, not by {name} of type {kind.simpleString()}")
+        out.append(F.coalesce(number, F.lit(_LEAST).cast("bigint")))
     return out
 
 
@@ -87,25 +98,33 @@ def plan_slices(
     df: DataFrame,
     order_by: Sequence[str],
     rows_per_slice: int = ROWS_PER_SLICE,
-    max_slices: int = MAX_SLICES,
+    span: str | int | None = None,
 ) -> Slices:
-    """Choose slice borders from a row count and a small sample of the order columns.
+    """Choose the slices of a table, in one pass over its order columns.
 
-    The sample is only used to place borders. It holds about ``SAMPLES_PER_SLICE``
-    positions per slice, so at most some 200,000 pairs of numbers reach the driver,
-    whatever the size of the table.
+    ``span`` is a duration for times and a number for whole numbers. Nothing but the number
+    of borders reaches the driver.
     """
     order_by = tuple(order_by)
-    positions = df.select(*_positions(df, order_by))
-    rows = positions.count()
-    wanted = min(max_slices, math.ceil(rows / rows_per_slice))
-    if wanted <= 1:
-        return Slices(order_by)
-    fraction = min(1.0, wanted * SAMPLES_PER_SLICE / rows)
-    drawn = positions.sample(fraction=fraction, seed=17).dropna().collect()
-    sample = sorted(tuple(row) for row in drawn)
-    borders = sorted({sample[len(sample) * i // wanted] for i in range(1, wanted)}) if sample else []
-    return Slices(order_by, tuple(borders))
+    if span is None:
+        span = NUMBER_SPAN if isinstance(df.schema[order_by[0]].dataType, T.IntegralType) else TIME_SPAN
+    width = duration_micros(span) if isinstance(span, str) else span
+    fraction = min(1.0, SAMPLES_PER_SLICE / rows_per_slice)
+    step = max(1, round(rows_per_slice * fraction))
+    at = [f"_at_{i}" for i in range(len(order_by))]
+    positions = df.select(*[p.alias(c) for c, p in zip(at, _positions(df, order_by))])
+    sampled = positions.sample(fraction=fraction, seed=17) if fraction < 1 else positions
+    borders = (
+        sampled.groupBy(F.call_function("div", F.col(at[0]), F.lit(width)).alias("_of_span"))
+        .agg(F.sort_array(F.collect_list(F.struct(*at))).alias("_borders"))
+        .withColumn("_borders", F.array_distinct(F.filter("_borders", lambda _, i: (i > 0) & (i % step == 0))))
+        .where(F.size("_borders") > 0)
+    )
+    path = working_path(df.sparkSession, "slices")
+    borders.write.parquet(path)
+    stored = df.sparkSession.read.schema(borders.schema).parquet(path)
+    longest, count = stored.agg(F.max(F.size("_borders")), F.sum(F.size("_borders"))).first()
+    return Slices(order_by, width, stored, longest or 0, count or 0)
 
 
 def _checked(df: DataFrame, order_by: Sequence[str], slices: Slices | None, rows_per_slice: int) -> Slices:
@@ -116,6 +135,18 @@ def _checked(df: DataFrame, order_by: Sequence[str], slices: Slices | None, rows
     return slices
 
 
+def _dealt(sliced: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows shuffled by key and slice. NULL keys are keys like others, as fields of a struct."""
+    group = F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
+    return sliced.withColumn(_GROUP, group).repartition(F.col(_GROUP), F.col(_SLICE))
+
+
+def _per_slice(dealt: DataFrame, *aggregates: Column) -> DataFrame:
+    # The hash makes this use of the exchange need the same columns as the other, so that there is one.
+    all_columns = F.max(F.xxhash64(*dealt.columns)).alias("_all")
+    return dealt.groupBy(_GROUP, _SLICE).agg(*aggregates, all_columns).where("_all IS NOT NULL").drop("_all")
+
+
 def previous_row(
     df: DataFrame,
     keys: Sequence[str],
@@ -131,27 +162,16 @@ def previous_row(
     """
     order_by = tuple(order_by)
     slices = _checked(df, order_by, slices, rows_per_slice)
-    if len(slices) == 1:
-        ordered = Window.partitionBy(*keys).orderBy(*order_by)
-        return df.withColumns({f"prev_{name}": F.lag(name).over(ordered) for name in fields})
-
-    sliced = slices.add_to(df, _SLICE)
-    kept = list(dict.fromkeys([*order_by, *fields]))
-    last_rows = sliced.groupBy(*keys, _SLICE).agg(
-        F.max_by(F.struct(*kept), F.struct(*order_by)).alias("_last")
-    )
-    openings = (
-        last_rows.withColumn("_last", F.lag("_last").over(Window.partitionBy(*keys).orderBy(_SLICE)))
-        .where(F.col("_last").isNotNull())
-        .select(*[k for k in keys if k not in kept], _SLICE, "_last.*", F.lit(True).alias(_OPENING))
+    dealt = _dealt(slices.add_to(df, _SLICE), keys)
+    last = _per_slice(dealt, F.max_by(F.struct(*fields), F.struct(*order_by)).alias("_last"))
+    openings = last.select(
+        _GROUP, _SLICE, F.lag("_last").over(Window.partitionBy(_GROUP).orderBy(_SLICE)).alias("_opening")
     )
-    ordered = Window.partitionBy(*keys, _SLICE).orderBy(*order_by)
+    before = F.lag(F.struct(*fields)).over(Window.partitionBy(_GROUP, _SLICE).orderBy(*order_by))
     return (
-        sliced.withColumn(_OPENING, F.lit(False))
-        .unionByName(openings, allowMissingColumns=True)
-        .withColumns({f"prev_{name}": F.lag(name).over(ordered) for name in fields})
-        .where(~F.col(_OPENING))
-        .drop(_OPENING, _SLICE)
+        dealt.withColumn("_before", before).join(openings, [_GROUP, _SLICE], "left")
+        .withColumn("_before", F.coalesce("_before", "_opening"))
+        .select(*df.columns, *[F.col("_before")[name].alias(f"prev_{name}") for name in fields])
     )
 
 
@@ -163,50 +183,34 @@ def running_totals(
     slices: Slices | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
     slice_by: Column | None = None,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add running sums, per key in the given order, the row itself included.
 
-    ``slice_by`` may give a slice number that never falls along the order (such as the
-    day of a time bucket); then no sample is taken.
+    ``keep`` names the columns wanted beside the sums (all, if not given); others are not shuffled. ``slice_by`` may give a slice number that never falls along the order (such as the
+    day of a time bucket); then no planning pass is made.
     """
-    return _running(df, keys, order_by, totals, slices, rows_per_slice, slice_by).drop(_SLICE)
+    return _running(df, keys, order_by, totals, slices, rows_per_slice, slice_by, keep).drop(_GROUP, _SLICE)
 
 
-def _running(df, keys, order_by, totals, slices=None, rows_per_slice=ROWS_PER_SLICE, slice_by=None):
+def _running(df, keys, order_by, totals, slices=None, rows_per_slice=ROWS_PER_SLICE, slice_by=None, keep=None):
     order_by = tuple(order_by)
+    keep = [c for c in (df.columns if keep is None else keep) if c not in totals]
     if slice_by is None:
-        slices = _checked(df, order_by, slices, rows_per_slice)
-        if len(slices) == 1:
-            ordered = (
-                Window.partitionBy(*keys).orderBy(*order_by)
-                .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-            )
-            running = {name: F.sum(value).over(ordered) for name, value in totals.items()}
-            return df.withColumns({**running, _SLICE: F.lit(0)})
-        df = slices.add_to(df, _SLICE)
+        sliced = _checked(df, order_by, slices, rows_per_slice).add_to(df, _SLICE)
     else:
-        df = df.withColumn(_SLICE, slice_by)
-    sliced = df.withColumns({f"_add_{name}": value for name, value in totals.items()})
-    per_slice = sliced.groupBy(*keys, _SLICE).agg(
-        *[F.sum(f"_add_{name}").alias(f"_add_{name}") for name in totals]
-    )
-    before = (
-        Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    openings = per_slice.select(
-        *keys, _SLICE, F.lit(True).alias(_OPENING),
-        *[F.sum(f"_add_{name}").over(before).alias(f"_add_{name}") for name in totals],
-    )
-    ordered = (
-        Window.partitionBy(*keys, _SLICE).orderBy(F.desc(_OPENING), *order_by)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+        sliced = df.withColumn(_SLICE, slice_by)
+    added = [value.alias(f"_add_{name}") for name, value in totals.items()]
+    dealt = _dealt(sliced.select(*dict.fromkeys([*keep, *keys, *order_by]), _SLICE, *added), keys)
+    sums = _per_slice(dealt, *[F.sum(f"_add_{name}").alias(f"_open_{name}") for name in totals])
+    before = Window.partitionBy(_GROUP).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    openings = sums.select(_GROUP, _SLICE, *[F.sum(f"_open_{name}").over(before).alias(f"_open_{name}") for name in totals])
+    inside = Window.partitionBy(_GROUP, _SLICE).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
-        sliced.withColumn(_OPENING, F.lit(False))
-        .unionByName(openings, allowMissingColumns=True)
-        .withColumns({name: F.sum(f"_add_{name}").over(ordered) for name in totals})
-        .where(~F.col(_OPENING))
-        .drop(_OPENING, *[f"_add_{name}" for name in totals])
+        dealt.withColumns({name: F.sum(f"_add_{name}").over(inside) for name in totals})
+        .join(openings, [_GROUP, _SLICE], "left")
+        .withColumns({name: F.coalesce(F.col(name) + F.col(f"_open_{name}"), name, f"_open_{name}") for name in totals})
+        .select(*keep, *totals, _GROUP, _SLICE)
     )
 
 
@@ -250,7 +254,7 @@ def ordered_parts(
     before = F.col("_until") - F.col("_weight")
     parted = ranked.withColumn("part", F.call_function("div", before, F.lit(part_rows)))
     position = F.struct(*order_by)
-    pieces = parted.groupBy(*groups, "part", _SLICE).agg(
+    pieces = parted.groupBy(_GROUP, _SLICE, *groups, "part").agg(
         F.count(F.lit(1)).alias("n"),
         F.sort_array(F.collect_list(F.struct(*order_by, F.col("_value")))).alias("_piece"),
         *[F.sum(f"_in_{name}").alias(f"_in_{name}") for name in sums],

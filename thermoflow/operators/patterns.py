@@ -30,7 +30,8 @@ SCOPE_KEYS = {"global": ("source",), "room": ("room_id", "source")}
 
 def pair_to_warning(pairs: DataFrame, threshold: int, within: str, exact: bool = False) -> DataFrame:
     """Keep the pairs (``prev_*``, row) that make a warning."""
-    both = F.col("prev_temperature") + F.col("temperature")
+    # As BIGINT: two INT values may add up to more than an INT holds.
+    both = F.col("prev_temperature").cast("bigint") + F.col("temperature").cast("bigint")
     mean = both / 2 if exact else int_mean(both, F.lit(2)).cast("double")
     return pairs.where(
         (F.col("temperature") >= threshold)

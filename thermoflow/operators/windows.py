@@ -133,12 +133,12 @@ def window_int_mean_values(
     groups = [*keys, *_BOUNDS]
     parts = ordered_parts(
         _windowed(readings, width, ts), groups, order_by, F.col(value).cast("string"),
-        part_rows, slices, rows_per_slice, sums={"_total": F.col(value).cast("bigint")},
+        part_rows, slices, rows_per_slice, sums={"_total": F.col(value).cast("bigint"), "_values": F.col(value).isNotNull().cast("bigint")},
     )
     whole = Window.partitionBy(*groups)
     return parts.select(
         *groups, "part",
-        int_mean(F.sum("_total").over(whole), F.sum("n").over(whole)).alias("avg_temperature"),
+        int_mean(F.sum("_total").over(whole), F.sum("_values").over(whole)).alias("avg_temperature"),
         F.concat(F.array_join("items", ", "), F.lit(", ")).alias("values"),
     )
 
@@ -153,7 +153,7 @@ def window_int_mean(
     """Whole-number mean only: no values are kept, so it runs on streams too."""
     return (
         readings.groupBy(F.window(ts, width), *keys)
-        .agg(int_mean(F.sum(value), F.count(value)).alias("avg_temperature"))
+        .agg(int_mean(F.sum(F.col(value).cast("bigint")), F.count(value)).alias("avg_temperature"))
         .select(*keys, "avg_temperature", *_bounds())
     )
 

@@ -162,7 +162,13 @@ WITH {_READINGS} SELECT room_id, source, date_trunc('milliseconds', ts) AS ts, t
         "dead_letters": """
 SELECT '{"roomId":"1_IN"}' AS key, props AS value, 'no timestamp' AS error FROM events
 UNION ALL
-SELECT '{"roomId":"' || role || '"}' AS key, text AS value, 'no source' AS error FROM conversations""",
+SELECT '{"roomId":"' || role || '"}' AS key, text AS value, 'no source' AS error FROM conversations
+UNION ALL
+SELECT '{"roomId":"1_IN"}' AS key, '{"value":5,"timestamp":-92233720368547' || lpad(event_id::VARCHAR, 5, '0') || '}' AS value,
+    'no timestamp' AS error FROM events
+UNION ALL
+SELECT '{"roomId":"' || lpad(event_id::VARCHAR, 5, '0') || '_XX"}' AS key, '{"value":5,"timestamp":1}' AS value,
+    'unknown source' AS error FROM events""",
         "raw_records": 'SELECT event_type AS key, props AS value, ts AS "timestamp" FROM events',
         "messages_roundtrip": f"WITH {_MESSAGES} SELECT event_id, sender, recipient, sentAt, message FROM messages",
         "topic_rows": f"""
@@ -246,7 +252,7 @@ means AS (
     SELECT room_id, source, {_HOUR} AS window_start, CAST(sum(temperature) AS BIGINT) // count(*) AS mean
     FROM readings GROUP BY ALL)
 SELECT i.room_id, CAST(i.mean AS DOUBLE) / nullif(CAST(o.mean AS DOUBLE), 0) AS relation,
-       i.window_start + INTERVAL '1 hour' AS window_end
+       i.window_start + INTERVAL '1 hour' AS window_end, true AS text_is_same
 FROM means i JOIN means o USING (room_id, window_start) WHERE i.source = 'IN' AND o.source = 'OUT'""",
         "main_job_points": f"WITH {_POINTS} {_WINDOW_POINTS}",
         # Patterns
@@ -300,6 +306,14 @@ SELECT 'newrooms' AS measurement, ts AS time, room_id AS room, source, temperatu
 WITH {_POINTS}
 SELECT measurement || ',room=' || room || ',source=' || source || ' value=' || value || ' ' || epoch_us(time) * 1000 AS line
 FROM rooms_temperatures""",
+        "line_protocol_ratios": f"""
+WITH {_POINTS}
+SELECT measurement || ',room=' || room || ' value=' || value || ' ' || epoch_us(time) * 1000 AS line FROM rooms_avg""",
+        "sum_by_position": f"""
+WITH {_READINGS}
+SELECT room_id, {_HOUR} AS window_start, {_HOUR} + INTERVAL '1 hour' AS window_end, CAST(sum(temperature) AS BIGINT) AS total
+FROM readings GROUP BY ALL""",
+        "rebalanced_counts": f"WITH {_READINGS} SELECT room_id, source, count(*) AS count FROM readings GROUP BY ALL",
         "line_protocol_readings": f"""
 WITH {_READINGS}
 SELECT 'newrooms,room=' || room_id || ',source=' || source || ' temp=' || temperature || 'i ' || epoch_us(ts) * 1000 AS line
@@ -332,7 +346,7 @@ SELECT {_HOUR} AS window_start, count(*) AS events, count(*) / 3600.0::DOUBLE AS
 WITH {_READINGS} SELECT {_DAY} AS window_start, source, {_HISTOGRAM} FROM readings GROUP BY {_DAY}, source""",
         "recent_value_histogram": f"""
 WITH {_READINGS} SELECT {_HISTOGRAM}
-FROM (SELECT temperature FROM readings ORDER BY ts DESC, event_id DESC LIMIT 10000)""",
+FROM (SELECT temperature FROM readings ORDER BY ts DESC, event_id DESC LIMIT 500)""",
         # Streams
         "stream_relation": f"""
 WITH {_RELATION} SELECT room_id, relation, window_end FROM relation WHERE epoch_us(window_end) <= {_CLOSED}""",

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from thermoflow.fixed_values import OUT_OF_ORDERNESS, SOURCE_IN, SOURCE_OUT
 from thermoflow.functions.numeric import room_partition
 from thermoflow.model import READING_ORDER
-from thermoflow.operators import dashboard, metrics, points, projections, relation, running, windows
+from thermoflow.operators import dashboard, keying, metrics, points, projections, relation, running, windows
 from thermoflow.operators.ordered import plan_slices
 from thermoflow.operators.patterns import alerts, compat_alerts, warnings
 from thermoflow.plans.main_job import window_points
@@ -37,6 +37,8 @@ LATEST_WITHIN = "3 hours"
 SERIES_RANGE = "7 days"
 STREAM_SLICE = "6 hours"
 PART_ROWS = 100
+RECENT = 500
+POSITIONS = 2
 
 _QUERIES: dict[str, Query] = {}
 
@@ -82,13 +84,22 @@ def readings_roundtrip(spark, folder):
 
 @_query
 def dead_letters(spark, folder):
-    """Good wire records among event properties (no reading) and chat turns (no JSON)."""
+    """Good wire records among event properties (no reading), chat turns (no JSON) and hostile records."""
     good = codec.encode_wire(_readings(spark, folder))
     properties = table(spark, folder, "events").select(F.lit('{"roomId":"1_IN"}').alias("key"), F.col("props").alias("value"))
     turns = table(spark, folder, "conversations").select(
         F.concat(F.lit('{"roomId":"'), "role", F.lit('"}')).alias("key"), F.col("text").alias("value")
     )
-    return codec.dead_letters(codec.decode_wire(good.unionByName(properties).unionByName(turns)))
+    number = F.lpad(F.col("event_id").cast("string"), 5, "0")
+    extreme = table(spark, folder, "events").select(
+        F.lit('{"roomId":"1_IN"}').alias("key"),
+        F.concat(F.lit('{"value":5,"timestamp":-92233720368547'), number, F.lit("}")).alias("value"),
+    )
+    unknown = table(spark, folder, "events").select(
+        F.concat(F.lit('{"roomId":"'), number, F.lit('_XX"}')).alias("key"), F.lit('{"value":5,"timestamp":1}').alias("value")
+    )
+    records = good.unionByName(properties).unionByName(turns).unionByName(extreme).unionByName(unknown)
+    return codec.dead_letters(codec.decode_wire(records))
 
 
 @_query
@@ -268,7 +279,9 @@ def in_out_relation_ieee(spark, folder):
 
 @_query
 def int_relation(spark, folder):
-    return relation.int_relation(_readings(spark, folder), WIDTH).select("room_id", "relation", "window_end")
+    return relation.int_relation(_readings(spark, folder), WIDTH).select(
+        "room_id", "relation", "window_end", (F.col("relation_text") == F.col("relation").cast("string")).alias("text_is_same")
+    )
 
 
 @_query
@@ -355,7 +368,7 @@ def word_count(spark, folder):
 
 @_query
 def running_word_count(spark, folder):
-    return running.running_word_count(table(spark, folder, "conversations"), ("conv_id", "turn"))
+    return running.running_word_count(table(spark, folder, "conversations"), ("conv_id", "turn"), span=8)
 
 
 @_query
@@ -396,6 +409,28 @@ def line_protocol(spark, folder):
     return points.as_lines(_temperature_points(spark, folder))
 
 
+@_query
+def line_protocol_ratios(spark, folder):
+    """Ratios that may not be finite: those write no field, so no line."""
+    ratios = relation.relation(_readings(spark, folder), WIDTH, ieee=True)
+    return points.as_lines(points.relation_points(ratios))
+
+
+@_query
+def sum_by_position(spark, folder):
+    """Sums by a key that is given by its position."""
+    readings = _readings(spark, folder).select("ts", "temperature", "room_id")
+    key = keying.key_at(readings, POSITIONS)
+    return windows.window_sum(readings, WIDTH, (key,), "temperature")
+
+
+@_query
+def rebalanced_counts(spark, folder):
+    """What is counted doesn't depend on how rows are spread."""
+    spread = keying.rebalance(_readings(spark, folder))
+    return spread.groupBy("room_id", "source").agg(F.count(F.lit(1)).alias("count"))
+
+
 @_query
 def line_protocol_readings(spark, folder):
     return points.as_lines(points.reading_points(_readings(spark, folder)))
@@ -457,7 +492,7 @@ def value_histogram(spark, folder):
 
 @_query
 def recent_value_histogram(spark, folder):
-    return _rounded(metrics.recent_histogram(_readings(spark, folder)))
+    return _rounded(metrics.recent_histogram(_readings(spark, folder), RECENT))
 
 
 # Streams: the files of the table as a stream, run until all input is used. Windows that

@@ -7,11 +7,14 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from thermoflow.fixed_values import FLUSH_INTERVAL, POINTS_COMPRESSION, POINTS_PER_FILE
+from thermoflow.fixed_values import POINTS_COMPRESSION
 from thermoflow.operators.points import as_lines
 
 
 FOLDERS = ("measurement", "day")
+#: How often files are written. A time-series store is flushed several times a second; tables of files
+#: would get as many small files and a log that every reader has to list.
+FILE_INTERVAL = "1 minute"
 
 
 def _with_day(points: DataFrame) -> DataFrame:
@@ -28,28 +31,29 @@ def write_points(points: DataFrame, path: str, mode: str = "append", compression
 
 
 def write_lines(points: DataFrame, path: str, fields: dict[str, str] | None = None,
-                per_file: int = POINTS_PER_FILE, compression: str = POINTS_COMPRESSION) -> None:
-    """Store points as line-protocol text, in files of at most ``per_file`` lines."""
+                per_file: int | None = None, compression: str = POINTS_COMPRESSION) -> None:
+    """Store points as line-protocol text. ``per_file`` bounds the lines of a file, for loaders that need it."""
     lines = as_lines(points, fields)
-    lines.write.option("maxRecordsPerFile", per_file).option("compression", compression).text(path)
+    lines.write.option("maxRecordsPerFile", per_file or 0).option("compression", compression).text(path)
 
 
 def store_points(points: DataFrame, path: str, checkpoint: str, name: str = "points", **trigger) -> StreamingQuery:
     """Stream points into a table, each exactly once (the sink's log names the valid files).
 
-    ``trigger`` is passed to ``writeStream.trigger``; the default flushes as often as the
-    time-series sink does.
+    ``trigger`` is passed to ``writeStream.trigger``; by default files are written every
+    ``FILE_INTERVAL``, rebalanced by folder.
     """
+    placed = _with_day(points).hint("rebalance", *[F.col(name) for name in FOLDERS])
     return (
-        _with_day(points).writeStream.format("parquet").queryName(name).partitionBy(*FOLDERS).outputMode("append")
+        placed.writeStream.format("parquet").queryName(name).partitionBy(*FOLDERS).outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": FLUSH_INTERVAL}))
+        .trigger(**(trigger or {"processingTime": FILE_INTERVAL}))
         .start(path)
     )
 
 
 def store_batches(df: DataFrame, path: str, checkpoint: str, output_mode: str = "append",
-                  partition_by: tuple[str, ...] = (), **trigger) -> StreamingQuery:
+                  partition_by: tuple[str, ...] = (), name: str = "batches", **trigger) -> StreamingQuery:
     """Stream any output mode into one folder per micro-batch.
 
     A batch that is run again after a failure replaces its own folder, so repeats leave
@@ -62,13 +66,19 @@ def store_batches(df: DataFrame, path: str, checkpoint: str, output_mode: str =
         writer.parquet(f"{path}/batch_id={batch_id}")
 
     return (
-        df.writeStream.foreachBatch(write).outputMode(output_mode)
+        df.writeStream.foreachBatch(write).queryName(name).outputMode(output_mode)
         .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": FLUSH_INTERVAL}))
+        .trigger(**(trigger or {"processingTime": FILE_INTERVAL}))
         .start()
     )
 
 
+def compact_points(spark: SparkSession, path: str, target: str) -> None:
+    """Copy a table of points into few files per folder, for days that are over."""
+    days = spark.read.parquet(path)
+    days.hint("rebalance", *[F.col(name) for name in FOLDERS]).write.mode("overwrite").partitionBy(*FOLDERS).parquet(target)
+
+
 def read_points(
     spark: SparkSession, path: str, measurement: str | None = None, since: datetime | None = None
 ) -> DataFrame:

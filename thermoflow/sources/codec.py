@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from thermoflow.fixed_values import SOURCE_IN, SOURCE_OUT
 from thermoflow.functions.text import split_tokens
 from thermoflow.model import MESSAGE
 
@@ -34,8 +35,13 @@ def _whole_number(text: Column) -> Column:
     return F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint"))
 
 
-def decode_wire(records: DataFrame, strict: bool = False) -> DataFrame:
-    """Records (``key``, ``value``, …) as readings with an ``error`` that is NULL if all is well."""
+def decode_wire(
+    records: DataFrame, strict: bool = False, sources: Sequence[str] | None = (SOURCE_IN, SOURCE_OUT)
+) -> DataFrame:
+    """Records (``key``, ``value``, …) as readings with an ``error`` that is NULL if all is well.
+
+    Only the named ``sources`` are accepted; None accepts any.
+    """
     others = [name for name in records.columns if name not in ("key", "value")]
     texts = records.select(
         *others, F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value")
@@ -50,12 +56,13 @@ def decode_wire(records: DataFrame, strict: bool = False) -> DataFrame:
         *others, "key", "value",
         F.get("_room", F.lit(0)).alias("room_id"),
         F.get("_room", F.lit(1)).alias("source"),
-        F.timestamp_millis(F.when(F.abs(millis) <= _MAX_MILLIS, millis)).alias("ts"),
+        F.timestamp_millis(F.when(millis.between(-_MAX_MILLIS, _MAX_MILLIS), millis)).alias("ts"),
         _whole_number(F.col("_value")).try_cast("int").alias("temperature"),
     ).withColumn(
         "error",
         F.when(F.col("room_id").isNull(), "no room")
         .when(F.col("source").isNull(), "no source")
+        .when(~F.col("source").isin(*sources) if sources is not None else F.lit(False), "unknown source")
         .when(F.col("ts").isNull(), "no timestamp")
         .when(F.col("temperature").isNull(), "no temperature"),
     )

@@ -17,10 +17,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """The same table as a stream of its files, whether it is one file or a folder of them.
 
-    The stream source takes a plain path for a folder; a pattern (of one name) fits both.
+    The stream source takes folders: the table's own, or the one above, filtered by name.
     """
-    path = f"{folder.rstrip('/')}/{name}.parque"
-    return spark.readStream.schema(spark.read.parquet(f"{path}t").schema).parquet(f"{path}[t]")
+    path = f"{folder.rstrip('/')}/{name}.parquet"
+    stream = spark.readStream.schema(spark.read.parquet(path).schema)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(hadoop).isFile():
+        return stream.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+    return stream.parquet(path)
 
 
 def readings_from_events(events: DataFrame, source: str | None = None) -> DataFrame:

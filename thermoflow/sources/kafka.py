@@ -11,18 +11,29 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from thermoflow.sources.codec import decode_messages, decode_raw, decode_wire
 
 
+#: Records of one micro-batch at most, so that a start over long history comes in steps.
+MAX_RECORDS_PER_BATCH = 10_000_000
+
+
 def source_options(topic: str, servers: str, group: str | None = None, start: str = "latest",
-                   max_records_per_batch: int | None = None) -> dict[str, str]:
+                   max_records_per_batch: int | None = MAX_RECORDS_PER_BATCH, fixed_group: str | None = None) -> dict[str, str]:
     """Options to read a topic. ``start`` is ``"latest"`` or ``"earliest"``.
 
-    Spark keeps its own offsets in the checkpoint, which is what makes a restart exact;
-    the group id is only passed on for the broker's monitoring and access rules.
+    Spark keeps its own offsets in the checkpoint, which is what makes a restart exact.
+    ``group`` is a prefix: every query gets a group id of its own below it, for the broker's
+    monitoring and access rules. ``fixed_group`` sets the id itself; queries that share one
+    may each get only a part of the topic, so use it for a single query only.
+    ``max_records_per_batch`` bounds a micro-batch; None leaves the first start over history in one.
     """
     if start not in ("latest", "earliest"):
         raise ValueError("start must be 'latest' or 'earliest'")
     options = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": start}
+    if group and fixed_group:
+        raise ValueError("give a prefix of group ids or a fixed one, not both")
     if group:
-        options["kafka.group.id"] = group
+        options["groupIdPrefix"] = group
+    if fixed_group:
+        options["kafka.group.id"] = fixed_group
     if max_records_per_batch:
         options["maxOffsetsPerTrigger"] = str(max_records_per_batch)
     return options
@@ -77,9 +88,10 @@ def constant_key_rows(df: DataFrame, key: str, value: str) -> DataFrame:
     return df.select(F.lit(key).alias("key"), F.col(value).cast("string").alias("value"))
 
 
-def write_topic(rows: DataFrame, topic: str, servers: str, checkpoint: str, output_mode: str = "append"):
-    """Start a query that writes ``key``/``value`` rows to a topic."""
+def write_topic(rows: DataFrame, topic: str, servers: str, checkpoint: str, output_mode: str = "append",
+                name: str | None = None):
+    """Start a query that writes ``key``/``value`` rows to a topic; its name is ``topic:<topic>`` by default."""
     return (
-        rows.writeStream.format("kafka").options(**sink_options(topic, servers))
+        rows.writeStream.format("kafka").queryName(name or f"topic:{topic}").options(**sink_options(topic, servers))
         .option("checkpointLocation", checkpoint).outputMode(output_mode).start()
     )
