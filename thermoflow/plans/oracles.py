@@ -308,7 +308,8 @@ SELECT measurement || ',room=' || room || ',source=' || source || ' value=' || v
 FROM rooms_temperatures""",
         "line_protocol_ratios": f"""
 WITH {_POINTS}
-SELECT measurement || ',room=' || room || ' value=' || value || ' ' || epoch_us(time) * 1000 AS line FROM rooms_avg""",
+SELECT measurement || ',room=' || room || ' value=' || value || ' ' || epoch_us(time) * 1000 AS line FROM rooms_avg
+WHERE value IS NOT NULL""",
         "sum_by_position": f"""
 WITH {_READINGS}
 SELECT room_id, {_HOUR} AS window_start, {_HOUR} + INTERVAL '1 hour' AS window_end, CAST(sum(temperature) AS BIGINT) AS total

@@ -280,7 +280,7 @@ def in_out_relation_ieee(spark, folder):
 @_query
 def int_relation(spark, folder):
     return relation.int_relation(_readings(spark, folder), WIDTH).select(
-        "room_id", "relation", "window_end", (F.col("relation_text") == F.col("relation").cast("string")).alias("text_is_same")
+        "room_id", "relation", "window_end", F.col("relation_text").eqNullSafe(F.col("relation").cast("string")).alias("text_is_same")
     )
 
 
