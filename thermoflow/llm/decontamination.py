@@ -137,3 +137,27 @@ def report(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return report(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
+def _sql_keys(name: str) -> str:
+    """The six masked keys of the windows in ``t``."""
+    return " UNION ALL ".join(
+        f"SELECT *, '{a}{b}:' || array_to_string(t[{a * BLOCK + 1}:{a * BLOCK + BLOCK}], ' ') || '/' || "
+        f"array_to_string(t[{b * BLOCK + 1}:{b * BLOCK + BLOCK}], ' ') AS k FROM {name}"
+        for a, b in _MASKS
+    )
+
+
+#: For benchmarks whose items all have a whole window, as the given ones do.
+SQL = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{{L}}\p{{N}}]+') AS ws FROM documents),
+b AS (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{{L}}\p{{N}}]+') AS ws FROM benchmark),
+dw AS (SELECT doc_id, i - 1 AS p, ws[i:i + {WINDOW - 1}] AS t FROM (SELECT *, unnest(range(1, len(ws) - {WINDOW - 2})) AS i FROM d)),
+bw AS (SELECT DISTINCT item_id, ws[i:i + {WINDOW - 1}] AS t FROM (SELECT *, unnest(range(1, len(ws) - {WINDOW - 2})) AS i FROM b)),
+dk AS ({_sql_keys('dw')}), bk AS ({_sql_keys('bw')}),
+pairs AS (
+  SELECT DISTINCT doc_id, p, item_id FROM dk JOIN bk USING (k)
+  WHERE list_sum(list_transform(range(1, {WINDOW + 1}), lambda i: (dk.t[i] = bk.t[i])::INTEGER)) >= {EQUAL})
+SELECT doc_id, item_id, count(*) AS n_windows, min(p)::BIGINT AS first_word, (max(p) + {WINDOW})::BIGINT AS end_word
+FROM pairs GROUP BY doc_id, item_id
+"""

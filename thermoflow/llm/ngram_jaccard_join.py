@@ -316,3 +316,24 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
 
 def op2_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(read(spark, folder, "documents").select("doc_id", "text"))
+
+
+SQL = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^ \t\n\x0b\f\r]+') AS ws FROM documents),
+runs AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + {SIZE - 1}], ' ') AS g
+  FROM (SELECT *, unnest(range(1, greatest(len(ws) - {SIZE - 1}, least(len(ws), 1)) + 1)) AS i FROM w)),
+sizes AS (SELECT doc_id, count(*) AS n FROM runs GROUP BY doc_id),
+shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+  FROM runs x JOIN runs y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+  WHERE c >= {SIMILARITY} * (p.n + q.n - c) - 1e-9),
+reach AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+classes AS (SELECT a, least(a, min(b)) AS class_id FROM reach GROUP BY a),
+counts AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
+SELECT doc_id, coalesce(class_id, doc_id) AS class_id, coalesce(n_links, 0)::BIGINT AS n_links
+FROM w LEFT JOIN classes ON classes.a = doc_id LEFT JOIN counts ON counts.a = doc_id
+"""

@@ -225,3 +225,21 @@ def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeats(documents).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
     )
+
+
+SQL = rf"""
+WITH w AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0b\f\r]+') AS ws FROM documents),
+windows AS (
+  SELECT r, doc_id, i, md5(array_to_string(ws[i:i + {WINDOW - 1}], ' ')) AS k
+  FROM (SELECT r, doc_id, ws, unnest(range(1, len(ws) - {WINDOW - 2})) AS i FROM w)),
+repeated AS (SELECT r, i FROM windows QUALIFY min(doc_id) OVER (PARTITION BY k) < doc_id),
+words AS (SELECT r, unnest(ws) AS word, generate_subscripts(ws, 1) AS p FROM w),
+covered AS (
+  SELECT words.r, word, p, max(i) OVER (
+    PARTITION BY words.r ORDER BY p ROWS BETWEEN {WINDOW - 1} PRECEDING AND CURRENT ROW) IS NOT NULL AS gone
+  FROM words LEFT JOIN repeated ON repeated.r = words.r AND i = p)
+SELECT doc_id, count(p) AS n_words, coalesce(sum(gone::BIGINT), 0)::BIGINT AS n_removed,
+  sha256(coalesce(string_agg(word, ' ' ORDER BY p) FILTER (NOT gone), '')) AS kept_sha256
+FROM w LEFT JOIN covered USING (r) GROUP BY r, doc_id
+"""
