@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 from hashlib import blake2b
 
 import pyarrow as pa
@@ -116,18 +117,24 @@ def _originals(said: DataFrame) -> DataFrame:
 
 def _roots(replies: DataFrame) -> DataFrame:
     """``conv_id, turn, root, depth`` of the messages that reply to others. ``replies``: conv_id, turn, reply_to."""
-    steps = written(replies.select("conv_id", "turn", F.col("reply_to").alias("root"), F.lit(1).cast("bigint").alias("depth")), "replies")
+    open_rows = written(replies.select(
+        "conv_id", "turn", F.col("reply_to").alias("root"), F.lit(1).cast("bigint").alias("depth")
+    ), "replies")
+    known, done = open_rows, []
     while True:
-        longer = steps.alias("a").join(
-            steps.alias("b"), (F.col("a.conv_id") == F.col("b.conv_id")) & (F.col("a.root") == F.col("b.turn")), "left"
+        # Every open row takes over the root that its own root has reached so far.
+        longer = written(open_rows.alias("a").join(
+            known.alias("b"), (F.col("a.conv_id") == F.col("b.conv_id")) & (F.col("a.root") == F.col("b.turn")), "left"
         ).select(
             "a.conv_id", "a.turn", F.coalesce("b.root", "a.root").alias("root"),
             (F.col("a.depth") + F.coalesce("b.depth", F.lit(0))).alias("depth"), F.col("b.turn").isNotNull().alias("moved"),
-        )
-        longer = written(longer, "replies")
-        steps = longer.drop("moved")
-        if longer.where("moved").isEmpty():
-            return steps
+        ), "replies")
+        # Rows whose root replies to nothing are done; only the others go another round.
+        done.append(longer.where("NOT moved").drop("moved"))
+        open_rows = longer.where("moved").drop("moved")
+        known = reduce(DataFrame.unionByName, done, open_rows)
+        if open_rows.isEmpty():
+            return known
 
 
 def link_quotes(df: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
