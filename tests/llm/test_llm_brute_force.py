@@ -195,6 +195,22 @@ def test_pfair_schedules_stay_within_one_block():
             assert (abs(given - (slot + 1) * np.array(parts) / 200) < 1).all()
 
 
+@pytest.mark.parametrize("weights", [
+    [1 / 3] + [2 / 57] * 19, [0.5] + [0.5 / 255] * 255, [0.9995, 0.0005], [0.3, 0.3, 0.4 - 1e-4, 1e-4],
+])
+def test_shares_stay_within_one_block_of_the_weights(weights):
+    blocks = [int(w * 20_000) + 1 for w in weights]
+    runs = pfair_mixing.schedule(dict(enumerate(blocks)), dict(enumerate(weights)))
+    slots = {i: [] for i in range(len(weights))}
+    for i, first, end, start, size, offsets in sorted(runs):
+        slots[i] += [start + (k - first) // len(offsets) * size + offsets[(k - first) % len(offsets)] for k in range(first, end)]
+    # Until the first source is used up, the ideal share is the weight times the slots.
+    until = int(min(b / w for b, w in zip(blocks, weights)))
+    for i, w in enumerate(weights):
+        given = np.searchsorted(slots[i], np.arange(until + 1))
+        assert np.abs(given - w * np.arange(until + 1)).max() < 1
+
+
 def test_pfair_schedule_of_used_up_sources():
     blocks, weights = {"a": 7, "b": 40, "c": 3, None: 1}, {"a": 0.5, "b": 0.2, "c": 0.25, None: 0.05}
     slots = {}
