@@ -240,6 +240,17 @@ def test_mixing(spark, documents):
     assert all(abs((i + 1) - (slot + 1) / 2) < 1 for i, slot in enumerate(own))
 
 
+def test_mixing_any_number_of_sources(spark):
+    df = spark.range(6000).selectExpr("id AS doc_id", "CASE WHEN id % 2 = 0 THEN 'hot' ELSE concat('host', id % 999) END AS source")
+    rows = pfair_mixing.mix(df, block=2, targets={"hot": 0.5}).collect()
+    assert sorted(r.doc_id for r in rows) == list(range(6000)) and len({r.source for r in rows}) > 900
+    assert len({r.position for r in rows}) == 6000
+    slots = sorted((r.slot, r.source) for r in rows if r.place == 0)
+    assert [s for s, _ in slots] == list(range(len(slots)))
+    hot = np.searchsorted([s for s, name in slots if name == "hot"], np.arange(2000))
+    assert np.abs(hot - np.arange(2000) / 2).max() < 1
+
+
 def test_words_of_texts(texts):
     import pyarrow as pa
 

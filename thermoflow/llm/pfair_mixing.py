@@ -10,7 +10,7 @@ source is used up in its ideal share, the weights of the others are scaled up fr
 is placed, and no source is ever a block or more from its ideal share.
 
 At scale: places in a source come from counts of hash ranges of bounded size, so a source with most of
-the rows is many ranges. There are ``MOST_SOURCES`` sources at most. Their counts and weights stay in a table; the driver sees only those that
+the rows is many ranges. Counts and weights of sources stay in a table, however many there are; the driver sees only those that
 ``targets`` names. The slots are worked out by one task from that table: it holds a few numbers for each source,
 goes through the blocks (not the rows; about 5 seconds for a million blocks) and writes a table of
 slots, ``RUN`` blocks of a source in a row, which the rows are joined with.
@@ -39,7 +39,6 @@ BLOCK = 64
 SLOTS = 1000
 #: Blocks in a row of the table of slots.
 RUN = 256
-MOST_SOURCES = 256
 #: Ideal times this near to a whole slot count as being there (windows that shrink by it still all fit).
 ROUNDING = 1e-6
 #: Rows of a hash range, about.
@@ -214,8 +213,6 @@ def mix(df: DataFrame, targets: dict | None = None, source: str = "source", orde
     in the order of a hash of the ``order`` columns.
     """
     counts = written(df.groupBy(F.col(source).alias("of_name")).agg(F.count(F.lit(1)).alias("rows")), "mixture-counts")
-    if counts.count() > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources; group them first")
     table = _slots(_weighed(counts, targets, exponent), block)
     rows = df.select(
         F.struct(*df.columns).alias("row"), F.col(source).alias("name"),
