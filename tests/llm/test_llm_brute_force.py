@@ -126,6 +126,25 @@ def test_prefixes_of_odd_texts():
             assert counts.count(x, *table, i) == len(library.encode(x[:i], add_special_tokens=False)), x[:i]
 
 
+def test_long_runs_without_blanks():
+    rng = np.random.default_rng(4)
+    library = Tokenizer.from_file(token_counts.vocabulary_path())
+    counts = token_counts.PrefixCounts(token_counts.vocabulary_path())
+    count = lambda x: len(library.encode(x, add_special_tokens=False))
+    kinds = {"letters": "etaoinshrdlu", "base64": "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/", "one": "x",
+             "script": "中文的是不人在有大这", "signs": "!?.-=<|>", "marks": "ae\u0301\u0323q", "white": "a\t\r"}
+    for kind, signs in kinds.items():
+        x = "".join(rng.choice([*signs], 1_000_000))
+        n = counts.fitting(x, *counts.table(x), 2048)
+        assert count(x[:n]) <= 2048, kind
+        assert all(count(x[: n + i]) > 2048 for i in range(1, 70)), kind
+        # All prefixes of a shorter one.
+        x = x[:400]
+        table, all_counts = counts.table(x), [count(x[:i]) for i in range(401)]
+        for budget in range(0, all_counts[-1] + 2, 5):
+            assert counts.fitting(x, *table, budget) == max(i for i, n in enumerate(all_counts) if n <= budget), (kind, budget)
+
+
 def test_tables_of_prefixes(spark):
     df = spark.createDataFrame([(1, "Hello world,\nit's  me", "n")], "doc_id bigint, text string, n_tokens string")
     row = token_counts.prefix_tables(df, tables=True, budget=3).first()
