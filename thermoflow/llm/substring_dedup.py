@@ -1,11 +1,11 @@
-"""Repeated passages: texts parsed relative to all earlier texts.
+"""Repeated passages: blocks of texts looked up among all earlier texts.
 
 Every run of ``window`` words has an *anchor* chosen by its words alone: the eight-word
 run in it with the least hash. Neighbouring windows mostly share their anchor, and the stretch
 of words under one anchor is a *block*. Blocks, by anchor and content, are the reference
-that texts are parsed against: a text is a sequence of blocks, and consecutive blocks that an earlier
-text has too form one greedy factor, found by one look-up per block. A factor ends in a
-block that no earlier text has as a whole, though an earlier one has its anchor. There, and only there, are
+that texts are compared with, by one look-up per block, in place of a greedy Lempel-Ziv parse: blocks are not
+joined into factors, and no longest match is computed. Some blocks
+no earlier text has as a whole, though an earlier one has their anchor. There, and only there, are
 windows checked one by one. So the result is exact: a window is removed if
 and only if an earlier text has the same words, whatever block borders fall where.
 
@@ -134,11 +134,11 @@ def repeated_spans(texts: DataFrame, window: int = WINDOW) -> DataFrame:
             .where("a < b").select("anchor"), "anchor", "left_semi"
         ), "shared-blocks",
     )
-    # Factors: blocks that an earlier document has as they are.
+    # Blocks that an earlier document has as they are.
     whole = blocks.join(shared, ["anchor", "content"]).where("first_doc < doc_id").select(
         "doc_id", "text_key", "first", "windows"
     )
-    # Factor ends: blocks that are the first of their kind, under an anchor with other blocks.
+    # Blocks that are the first of their kind, under an anchor with other blocks.
     open_anchors = shared.groupBy("anchor").agg(
         F.min("content").alias("a"), F.max("content").alias("b")
     ).where("a < b").select("anchor")
