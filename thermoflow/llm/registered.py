@@ -5,13 +5,13 @@ from __future__ import annotations
 import re
 
 from thermoflow.llm import (
-    decontamination, line_dedup, ngram_jaccard_join, pfair_mixing, quality_rules, quotation_links,
+    decontamination, fill_in_middle, filter_audit, line_dedup, ngram_jaccard_join, pfair_mixing, quality_lines, quality_rules, quotation_links,
     secret_scans, substring_dedup, token_counts, toxicity,
 )
 
 _MODULES = (
     quality_rules, ngram_jaccard_join, secret_scans, decontamination, token_counts, quotation_links,
-    line_dedup, substring_dedup, toxicity, pfair_mixing,
+    line_dedup, substring_dedup, toxicity, pfair_mixing, quality_lines, fill_in_middle, filter_audit,
 )
 
 QUERIES = {
