@@ -23,7 +23,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F, types as T
 
 from thermoflow.functions.time import as_micros, duration_micros
 from thermoflow.session import working_path
@@ -53,8 +53,7 @@ class Slices:
     def add_to(self, df: DataFrame, name: str) -> DataFrame:
         """Add the slice of each row, as a struct that orders like the rows do.
 
-        Its second field is how many borders of its span are at or before the row: a binary
-        search, written as one column per halving so that every step is plain generated code.
+        Its second field is how many borders of its span are at or before the row: a binary search.
         """
         at = [f"_at_{i}" for i in range(len(self.order_by))]
         df = df.withColumns(dict(zip(at, _positions(df, self.order_by))))
@@ -62,11 +61,14 @@ class Slices:
         if self.longest:
             table = F.broadcast(self.borders) if self.count <= MOST_SENT else self.borders
             df = df.join(table, F.col("_span") == F.col("_of_span"), "left")
-            for bit in reversed(range(self.longest.bit_length())):
-                upper = F.col("_cut") + (1 << bit)
-                border = F.get("_borders", upper - 1)
-                not_after = _not_after([border[c] for c in at], [F.col(c) for c in at])
-                df = df.withColumn("_cut", F.when(border.isNotNull() & not_after, upper).otherwise(F.col("_cut")))
+            # One expression for any number of borders: a plan with a column per halving takes ever longer to optimise.
+            halvings = F.array(*[F.lit(1 << bit) for bit in reversed(range(self.longest.bit_length()))])
+
+            def halve(cut: Column, step: Column) -> Column:
+                border = F.get("_borders", cut + step - 1)
+                return F.when(_not_after([border[c] for c in at], [F.col(c) for c in at]), cut + step).otherwise(cut)
+
+            df = df.withColumn("_cut", F.aggregate(halvings, F.lit(0), halve))
             df = df.drop("_of_span", "_borders")
         return df.withColumn(name, F.struct("_span", "_cut")).drop("_span", "_cut", *at)
 
@@ -120,11 +122,11 @@ def plan_slices(
         .withColumn("_borders", F.array_distinct(F.filter("_borders", lambda _, i: (i > 0) & (i % step == 0))))
         .where(F.size("_borders") > 0)
     )
-    path = working_path(df.sparkSession, "slices")
-    borders.write.parquet(path)
+    path, found = working_path(df.sparkSession, "slices"), Observation()
+    size = F.size("_borders")
+    borders.observe(found, F.max(size).alias("longest"), F.sum(size).alias("count")).write.parquet(path)
     stored = df.sparkSession.read.schema(borders.schema).parquet(path)
-    longest, count = stored.agg(F.max(F.size("_borders")), F.sum(F.size("_borders"))).first()
-    return Slices(order_by, width, stored, longest or 0, count or 0)
+    return Slices(order_by, width, stored, found.get["longest"] or 0, found.get["count"] or 0)
 
 
 def _checked(df: DataFrame, order_by: Sequence[str], slices: Slices | None, rows_per_slice: int) -> Slices:
@@ -175,6 +177,70 @@ def previous_row(
     )
 
 
+def previous_rows(
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str],
+    fields: Sequence[str],
+    count: int,
+    into: str = "previous",
+    slices: Slices | None = None,
+    rows_per_slice: int = ROWS_PER_SLICE,
+) -> DataFrame:
+    """Add an array of the up to ``count`` rows just before, per key in the given order, oldest first.
+
+    A slice is summed up by its last ``count`` rows. Summaries of neighbouring slices are joined end to end and
+    cut to the last ``count`` rows again, so it does not matter how few rows of a key a slice has.
+    """
+    order_by = tuple(order_by)
+    slices = _checked(df, order_by, slices, rows_per_slice)
+    dealt = _dealt(slices.add_to(df, _SLICE), keys)
+    last = lambda rows: F.slice(rows, F.greatest(F.size(rows) - count, F.lit(0)) + 1, count)
+    inside = Window.partitionBy(_GROUP, _SLICE).orderBy(*order_by).rowsBetween(-count, -1)
+    seen = dealt.withColumn("_inside", F.collect_list(F.struct(*fields)).over(inside))
+    tails = seen.groupBy(_GROUP, _SLICE).agg(
+        F.max_by(last(F.concat("_inside", F.array(F.struct(*fields)))), F.struct(*order_by)).alias("_tail")
+    )
+    earlier = Window.partitionBy(_GROUP).orderBy(_SLICE).rowsBetween(-count, -1)
+    openings = tails.select(_GROUP, _SLICE, F.flatten(F.collect_list("_tail").over(earlier)).alias("_opening"))
+    both = F.concat(F.coalesce("_opening", F.array()), F.col("_inside"))
+    return (
+        seen.join(openings.withColumn("_opening", last(F.col("_opening"))), [_GROUP, _SLICE], "left")
+        .select(*df.columns, last(both).alias(into))
+    )
+
+
+def running_max(
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str],
+    maxima: Mapping[str, Column],
+    with_row: bool = True,
+    slices: Slices | None = None,
+    rows_per_slice: int = ROWS_PER_SLICE,
+) -> DataFrame:
+    """Add running maxima, per key in the given order; with ``with_row=False`` those of earlier rows only.
+
+    Like running sums: a slice is summed up by its maxima, which earlier slices hand on.
+    """
+    order_by = tuple(order_by)
+    kept = [c for c in df.columns if c not in maxima]
+    sliced = _checked(df, order_by, slices, rows_per_slice).add_to(df, _SLICE)
+    added = [value.alias(f"_new_{name}") for name, value in maxima.items()]
+    dealt = _dealt(sliced.select(*dict.fromkeys([*kept, *keys, *order_by]), _SLICE, *added), keys)
+    tops = _per_slice(dealt, *[F.max(f"_new_{name}").alias(f"_open_{name}") for name in maxima])
+    before = Window.partitionBy(_GROUP).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    openings = tops.select(_GROUP, _SLICE, *[F.max(f"_open_{name}").over(before).alias(f"_open_{name}") for name in maxima])
+    inside = Window.partitionBy(_GROUP, _SLICE).orderBy(*order_by).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow if with_row else -1
+    )
+    return (
+        dealt.withColumns({name: F.max(f"_new_{name}").over(inside) for name in maxima})
+        .join(openings, [_GROUP, _SLICE], "left")
+        .select(*kept, *[F.greatest(name, f"_open_{name}").alias(name) for name in maxima])
+    )
+
+
 def running_totals(
     df: DataFrame,
     keys: Sequence[str],

@@ -153,6 +153,44 @@ SELECT room, max(time) AS time, arg_max(value, time) AS value
 FROM side WHERE time > (SELECT max(time) FROM side) - INTERVAL '3 hours' GROUP BY room"""
 
 
+_LAGS = "WINDOW w AS (PARTITION BY room_id, source ORDER BY ts, event_id)"
+
+_ARRIVALS = _READINGS + """,
+arrived AS (
+    SELECT room_id, source, temperature, event_id, make_timestamp(epoch_us(ts) // 60) AS ts,
+           make_timestamp(epoch_us(ts) // 60 + event_id * 7919 % 10000 * 1000) AS arrival
+    FROM readings),
+met AS (
+    SELECT *, time_bucket(INTERVAL '5 seconds', ts) + INTERVAL '5 seconds' AS window_end,
+           max(ts) OVER (ORDER BY arrival, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest
+    FROM arrived)"""
+
+
+def _late(delay: str) -> str:
+    return f"""
+WITH {_ARRIVALS}
+SELECT event_id, ts, arrival, newest - INTERVAL '{delay}' AS watermark, window_end FROM met
+WHERE newest - INTERVAL '{delay}' >= window_end - INTERVAL '1 millisecond'"""
+
+
+# Every row that is not refused, with the count and sum of its window so far and whether it fires a result.
+_FIRED = _ARRIVALS + """,
+counted AS (
+    SELECT *, newest IS NOT NULL AND newest - INTERVAL '1 millisecond' >= window_end - INTERVAL '1 millisecond' AS late
+    FROM met WHERE NOT coalesce(newest - INTERVAL '1 millisecond' >= window_end + INTERVAL '2499 milliseconds', false)),
+sums AS (
+    SELECT *, count(*) OVER w AS n, sum(temperature) OVER w AS total,
+           count(*) FILTER (NOT late) OVER (PARTITION BY room_id, source, window_end) AS punctual,
+           row_number() OVER (PARTITION BY room_id, source, window_end ORDER BY late, arrival, event_id) AS place
+    FROM counted WINDOW w AS (PARTITION BY room_id, source, window_end ORDER BY late, arrival, event_id)),
+fired AS (
+    SELECT *, place - greatest(punctual, 1) AS version FROM sums WHERE place >= greatest(punctual, 1)),
+log AS (
+    SELECT room_id, source, window_end, version, '+' AS op, n, total FROM fired
+    UNION ALL
+    SELECT room_id, source, window_end, version - 1, '-', n - 1, total - temperature FROM fired WHERE version > 0)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         # Sources, decoding and encoding
@@ -366,4 +404,50 @@ SELECT room_id, source, count(*) AS "count", CAST(sum(temperature) AS BIGINT) AS
 FROM readings GROUP BY room_id, source""",
         "stream_word_count": f"""
 SELECT word, count(*) AS "count" FROM (SELECT unnest({_tokens('p_name', ' ')}) AS word FROM part) GROUP BY word""",
+        # Patterns of any length
+        "pattern_warnings": f"WITH {_warnings()} SELECT * EXCLUDE (prev_ts) FROM warned",
+        "pattern_alerts": f"WITH {_warnings()}{_alerts()} {_ALERT}",
+        "rising_triples": f"""
+WITH {_READINGS},
+lags AS (
+    SELECT room_id, source, lag(event_id, 2) OVER w AS low_event_id, lag(temperature, 2) OVER w AS low_temperature,
+           lag(event_id) OVER w AS middle_event_id, lag(temperature) OVER w AS middle_temperature,
+           event_id AS high_event_id, temperature AS high_temperature, ts - lag(ts, 2) OVER w AS took
+    FROM readings {_LAGS})
+SELECT * EXCLUDE (took) FROM lags
+WHERE low_temperature < middle_temperature AND middle_temperature < high_temperature
+  AND high_temperature > low_temperature + middle_temperature AND took < INTERVAL '12 hours'""",
+        "hot_streaks": f"""
+WITH {_READINGS},
+lags AS (
+    SELECT room_id, source, event_id AS cool_id, temperature AS t, lag(temperature, 1) OVER w AS d, lag(temperature, 2) OVER w AS c,
+           lag(temperature, 3) OVER w AS b, lag(temperature, 4) OVER w AS a, lag(event_id, 1) OVER w AS di,
+           lag(event_id, 2) OVER w AS ci, lag(event_id, 3) OVER w AS bi, lag(event_id, 4) OVER w AS ai
+    FROM readings {_LAGS})
+SELECT room_id, source, '[' || ai || ',' || bi || ',' || ci || ',' || di || ']' AS hot_ids, a + b + c + d AS hot_total, cool_id
+FROM lags WHERE least(a, b, c, d) >= 30 AND a IS NOT NULL AND a <> b AND b <> c AND c <> d AND t < 30""",
+        "rising_runs": f"""
+WITH {_READINGS},
+marked AS (
+    SELECT *, coalesce(lag(temperature) OVER w < temperature, false) AS goes_on FROM readings {_LAGS}),
+numbered AS (
+    SELECT *, sum(CASE WHEN goes_on THEN 0 ELSE 1 END) OVER w AS run FROM marked {_LAGS})
+SELECT room_id, source, min_by(event_id, ts) AS first_id, max_by(event_id, ts) AS last_id, count(*) AS n,
+       sum(temperature)::BIGINT AS total
+FROM numbered GROUP BY room_id, source, run HAVING count(*) >= 3""",
+        # Late rows and corrections
+        "late_rows_ascending": _late("1 millisecond"),
+        "late_rows_bounded": _late("3 seconds"),
+        "late_rows_punctuated": _late("1500 milliseconds"),
+        "corrections": f"""
+WITH {_FIRED}
+SELECT room_id, source, window_end - INTERVAL '5 seconds' AS window_start, window_end, version, op, n, total::BIGINT AS total
+FROM log""",
+        "corrections_upserted": f"""
+WITH {_FIRED}
+SELECT room_id, source, window_end - INTERVAL '5 seconds' AS window_start, window_end,
+       count(*) - greatest(count(*) FILTER (NOT late), 1) AS version, count(*) AS n, sum(temperature)::BIGINT AS total
+FROM counted GROUP BY room_id, source, window_end""",
+        "corrections_summed": f"""
+WITH {_FIRED} SELECT room_id, count(*) AS n, sum(temperature)::BIGINT AS total FROM counted GROUP BY room_id""",
     }

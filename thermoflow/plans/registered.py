@@ -10,17 +10,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from thermoflow.fixed_values import OUT_OF_ORDERNESS, SOURCE_IN, SOURCE_OUT
-from thermoflow.functions.numeric import room_partition
+from thermoflow.fixed_values import OUT_OF_ORDERNESS, SOURCE_IN, SOURCE_OUT, WARNING_THRESHOLD
+from thermoflow.functions.numeric import int_mean, room_partition
 from thermoflow.model import READING_ORDER
-from thermoflow.operators import dashboard, keying, metrics, points, projections, relation, running, windows
+from thermoflow.operators import dashboard, keying, lateness, metrics, points, projections, relation, running, sequences, windows
 from thermoflow.operators.ordered import plan_slices
 from thermoflow.operators.patterns import alerts, compat_alerts, warnings
 from thermoflow.plans.main_job import window_points
 from thermoflow.session import stream_session, use_utc, working_path
 from thermoflow.sources import codec, kafka
 from thermoflow.sources.events import (
-    compound_id, messages_from_conversations, readings_from_events, table, table_stream,
+    arrivals, compound_id, messages_from_conversations, readings_from_events, table, table_stream,
 )
 from thermoflow.streaming.event_time import with_event_time
 from thermoflow.streaming.patterns import stream_alerts, stream_warnings, warning_delay
@@ -563,3 +563,129 @@ def stream_word_count(spark, folder):
     texts = table_stream(stream_session(spark), folder, "part").select(F.col("p_name").alias("text"))
     updates = drained(spark, running.word_count(texts), "words", output_mode="update")
     return updates.groupBy("word").agg(F.max("count").alias("count"))
+
+
+# Patterns of any length
+
+
+def _hot(event, taken):
+    return event["temperature"] >= WARNING_THRESHOLD
+
+
+@_query
+def pattern_warnings(spark, folder):
+    """The warning as a pattern of two steps."""
+    pattern = sequences.Pattern().begin("first", _hot).next("second", _hot).within(WARNING_WITHIN)
+    found = sequences.matches(_readings(spark, folder), pattern)
+    mean = int_mean(F.col("first.temperature") + F.col("second.temperature"), F.lit(2)).cast("double")
+    return sequences.select(
+        found, F.col("first.room_id").alias("room_id"), "source", F.col("second.ts").alias("ts"),
+        F.col("second.event_id").alias("event_id"), mean.alias("avg_temperature"),
+    )
+
+
+@_query
+def pattern_alerts(spark, folder):
+    """The alert as a pattern without conditions, whose flat select gives a row or none."""
+    pattern = sequences.Pattern().begin("first").next("second").within(ALERT_WITHIN)
+    found = sequences.matches(pattern_warnings(spark, folder), pattern, ("source",))
+    alert = F.struct(
+        F.col("first.room_id").alias("room_id"), "source", F.col("second.ts").alias("ts"),
+        F.col("second.event_id").alias("event_id"), F.col("second.avg_temperature").alias("alerted_temperature"),
+    )
+    rising = F.col("first.avg_temperature") < F.col("second.avg_temperature")
+    return sequences.flat_select(found, F.when(rising, F.array(alert)).otherwise(F.array()))
+
+
+@_query
+def rising_triples(spark, folder):
+    """Three readings in a row, each above the one before, the last one also above twice the mean of the others."""
+    pattern = (
+        sequences.Pattern().begin("low")
+        .next("middle", lambda event, taken: event["temperature"] > taken["low"][0]["temperature"])
+        .next("high", lambda event, taken: (event["temperature"] > taken["middle"][0]["temperature"]) & (
+            event["temperature"] > taken["low"][0]["temperature"] + taken["middle"][0]["temperature"]))
+        .within("12 hours")
+    )
+    found = sequences.matches(_readings(spark, folder), pattern, fields=("temperature",))
+    return found.select("room_id", "source", *[
+        F.col(f"{step}.{field}").alias(f"{step}_{field}") for step in ("low", "middle", "high") for field in ("event_id", "temperature")
+    ])
+
+
+@_query
+def hot_streaks(spark, folder):
+    """Four hot readings in a row of which no two neighbours are equal, then one that is not hot."""
+    pattern = (
+        sequences.Pattern()
+        .begin("hot", lambda event, taken: _hot(event, taken) & (
+            event["temperature"] != taken["hot"][-1]["temperature"] if taken["hot"] else F.lit(True)), times=4)
+        .next("cool", lambda event, taken: event["temperature"] < WARNING_THRESHOLD)
+    )
+    found = sequences.matches(_readings(spark, folder), pattern, fields=("temperature",))
+    return found.select(
+        "room_id", "source", F.to_json(F.transform("hot", lambda row: row["event_id"])).alias("hot_ids"),
+        F.aggregate("hot", F.lit(0), lambda total, row: total + row["temperature"]).alias("hot_total"),
+        F.col("cool.event_id").alias("cool_id"),
+    )
+
+
+@_query
+def rising_runs(spark, folder):
+    """Longest runs of rising readings, three or more."""
+    found = sequences.runs(
+        _readings(spark, folder), lambda before, row: before["temperature"] < row["temperature"],
+        {"total": F.sum("temperature")}, at_least=3,
+    )
+    return found.select(
+        "room_id", "source", F.col("first.event_id").alias("first_id"), F.col("last.event_id").alias("last_id"), "n", "total"
+    )
+
+
+# Late rows and corrections
+
+
+STEP = "5 seconds"
+
+
+def _judged(spark, folder, delay):
+    return lateness.late_rows(arrivals(_readings(spark, folder)), STEP, delay).select(
+        "event_id", "ts", "arrival", "watermark", "window_end"
+    )
+
+
+@_query
+def late_rows_ascending(spark, folder):
+    return _judged(spark, folder, lateness.ASCENDING)
+
+
+@_query
+def late_rows_bounded(spark, folder):
+    return _judged(spark, folder, lateness.BOUNDED)
+
+
+@_query
+def late_rows_punctuated(spark, folder):
+    return _judged(spark, folder, lateness.PUNCTUATED)
+
+
+def _corrections(spark, folder):
+    return lateness.correction_log(
+        arrivals(_readings(spark, folder)), F.col("temperature"), STEP, ("room_id", "source"), lateness.ASCENDING, "2500 milliseconds"
+    )
+
+
+@_query
+def corrections(spark, folder):
+    """What is sent for each window when late rows still count for a while."""
+    return _corrections(spark, folder)
+
+
+@_query
+def corrections_upserted(spark, folder):
+    return lateness.upserted(_corrections(spark, folder))
+
+
+@_query
+def corrections_summed(spark, folder):
+    return lateness.summed(_corrections(spark, folder), ("room_id",))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from thermoflow.fixed_values import SOURCE_IN, SOURCE_OUT
+from thermoflow.functions.time import as_micros
 
 ROOMS = 5
 IN_EVENTS = ("view", "click")
@@ -47,6 +48,16 @@ def readings_from_events(events: DataFrame, source: str | None = None) -> DataFr
     )
 
 
+def arrivals(readings: DataFrame, speed: int = 60, disorder_ms: int = 10_000) -> DataFrame:
+    """The readings as they may reach a consumer: times run faster, and each row arrives up to ``disorder_ms`` after its time."""
+    micros = F.call_function("div", as_micros(F.col("ts")), F.lit(speed))
+    kind = readings.schema["ts"].dataType
+    late = F.pmod(F.col("event_id") * 7919, F.lit(disorder_ms)) * 1000
+    return readings.withColumns({
+        "ts": F.timestamp_micros(micros).cast(kind), "arrival": F.timestamp_micros(micros + late).cast(kind),
+    })
+
+
 def compound_id(readings: DataFrame) -> Column:
     return F.concat(F.lit("room_"), F.col("room_id"), F.lit("_"), F.col("source"))
 
