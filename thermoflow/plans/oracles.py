@@ -450,4 +450,6 @@ SELECT room_id, source, window_end - INTERVAL '5 seconds' AS window_start, windo
 FROM counted GROUP BY room_id, source, window_end""",
         "corrections_summed": f"""
 WITH {_FIRED} SELECT room_id, count(*) AS n, sum(temperature)::BIGINT AS total FROM counted GROUP BY room_id""",
+        # Exactly once
+        "committed_points": f"WITH {_POINTS} SELECT * FROM rooms_temperatures",
     }

@@ -18,6 +18,7 @@ from thermoflow.operators.ordered import plan_slices
 from thermoflow.operators.patterns import alerts, compat_alerts, warnings
 from thermoflow.plans.main_job import window_points
 from thermoflow.session import stream_session, use_utc, working_path
+from thermoflow.sinks.commits import CommittedTable
 from thermoflow.sources import codec, kafka
 from thermoflow.sources.events import (
     arrivals, compound_id, messages_from_conversations, readings_from_events, table, table_stream,
@@ -689,3 +690,20 @@ def corrections_upserted(spark, folder):
 @_query
 def corrections_summed(spark, folder):
     return lateness.summed(_corrections(spark, folder), ("room_id",))
+
+
+# Exactly once
+
+
+@_query
+def committed_points(spark, folder):
+    """Points stored in batches: one is sent again, one is staged by a writer that dies, and the first ones are compacted."""
+    points_ = points_rooms_temperatures(spark, folder)
+    target = CommittedTable(spark, working_path(spark, "committed-points"), ("measurement",))
+    batches = [points_.where(F.pmod(F.xxhash64("time"), F.lit(3)) == i) for i in range(3)]
+    for number, batch in enumerate(batches):
+        target.append(batch, "points", number)
+    target.append(batches[1], "points", 1)
+    target.stage(batches[2])
+    target.compact(keep_newest=1)
+    return target.read()
