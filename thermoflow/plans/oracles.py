@@ -452,4 +452,42 @@ FROM counted GROUP BY room_id, source, window_end""",
 WITH {_FIRED} SELECT room_id, count(*) AS n, sum(temperature)::BIGINT AS total FROM counted GROUP BY room_id""",
         # Exactly once
         "committed_points": f"WITH {_POINTS} SELECT * FROM rooms_temperatures",
+        # Meters, distributions and latest values on large data
+        "sliding_throughput": f"""
+WITH {_ARRIVALS},
+panes AS (SELECT source, epoch_us(ts) // 1000000 AS pane, count(*) AS n FROM arrived GROUP BY 1, 2),
+steps AS (SELECT source, pane AS step FROM panes UNION SELECT source, pane + 5 FROM panes)
+SELECT source, make_timestamp((step + 1) * 1000000) AS time, coalesce(sum(n), 0)::BIGINT AS events,
+       coalesce(sum(n), 0)::BIGINT / 5.0::DOUBLE AS per_second
+FROM steps LEFT JOIN panes USING (source) WHERE panes.pane BETWEEN step - 4 AND step OR panes.pane IS NULL
+GROUP BY source, step
+UNION ALL
+SELECT source, make_timestamp((step + 1) * 1000000), 0, 0.0 FROM steps
+WHERE NOT EXISTS (FROM panes WHERE panes.source = steps.source AND panes.pane BETWEEN step - 4 AND step)""",
+        "counter_with_restarts": f"""
+WITH {_READINGS},
+scraped AS (
+    SELECT *, row_number() OVER (PARTITION BY source ORDER BY ts, event_id) % 97 AS value FROM readings),
+pairs AS (
+    SELECT *, lag(value) OVER (PARTITION BY source ORDER BY ts, event_id) AS before FROM scraped),
+increases AS (
+    SELECT *, CASE WHEN before IS NULL THEN 0 WHEN value < before THEN value ELSE value - before END AS increase FROM pairs)
+SELECT source, {_HOUR} AS window_start, sum(increase)::BIGINT AS increase, count(*) FILTER (value < before) AS restarts,
+       sum(increase)::BIGINT / 3600.0::DOUBLE AS per_second
+FROM increases GROUP BY source, {_HOUR}""",
+        "sketched_quantiles": f"""
+WITH {_READINGS}
+SELECT room_id, unnest(['p50', 'p75', 'p95', 'p98', 'p99', 'p99_9']) AS quantile, count(*) AS n, min(temperature)::BIGINT AS min,
+       max(temperature)::BIGINT AS max, true AS within_error
+FROM readings GROUP BY room_id""",
+        "recent_per_room": f"""
+WITH {_READINGS}
+SELECT room_id, source, count(*) AS n, min(temperature) AS min, max(temperature) AS max, sum(temperature)::BIGINT AS total,
+       min(event_id) AS first_id
+FROM (SELECT *, row_number() OVER (PARTITION BY room_id, source ORDER BY ts DESC, event_id DESC) AS place FROM readings)
+WHERE place <= 100 GROUP BY room_id, source""",
+        "latest_table": f"""
+WITH {_POINTS}
+SELECT room, source, max(time) AS time, max_by(value, time) AS value FROM rooms_temperatures
+WHERE time > (SELECT max(time) FROM rooms_temperatures) - INTERVAL '3 hours' GROUP BY room, source""",
     }

@@ -8,17 +8,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from thermoflow.fixed_values import OUT_OF_ORDERNESS, SOURCE_IN, SOURCE_OUT, WARNING_THRESHOLD
 from thermoflow.functions.numeric import int_mean, room_partition
 from thermoflow.model import READING_ORDER
-from thermoflow.operators import dashboard, keying, lateness, metrics, points, projections, relation, running, sequences, windows
-from thermoflow.operators.ordered import plan_slices
+from thermoflow.operators import (
+    dashboard, distributions, keying, lateness, meters, metrics, points, projections, relation, running, sequences, windows,
+)
+from thermoflow.operators.ordered import plan_slices, running_totals
 from thermoflow.operators.patterns import alerts, compat_alerts, warnings
 from thermoflow.plans.main_job import window_points
 from thermoflow.session import stream_session, use_utc, working_path
 from thermoflow.sinks.commits import CommittedTable
+from thermoflow.sinks.latest import LatestTable
 from thermoflow.sources import codec, kafka
 from thermoflow.sources.events import (
     arrivals, compound_id, messages_from_conversations, readings_from_events, table, table_stream,
@@ -473,7 +476,10 @@ def series_reduced(spark, folder):
 
 @_query
 def event_counter(spark, folder):
-    return metrics.event_count(metrics.counted(table(spark, folder, "events"), "events_seen"))
+    """Rows counted while they are written somewhere, read from the metric."""
+    seen = Observation()
+    metrics.counted(table(spark, folder, "events"), seen).write.format("noop").mode("overwrite").save()
+    return spark.range(1).select(F.lit(seen.get["events"]).alias("events"))
 
 
 @_query
@@ -707,3 +713,61 @@ def committed_points(spark, folder):
     target.stage(batches[2])
     target.compact(keep_newest=1)
     return target.read()
+
+
+# Meters, distributions and latest values on large data
+
+
+@_query
+def sliding_throughput(spark, folder):
+    """Events of the last five seconds, at every second at which their number changes."""
+    return meters.sliding_throughput(arrivals(_readings(spark, folder)), keys=("source",))
+
+
+@_query
+def counter_with_restarts(spark, folder):
+    """A counter of events that starts anew after every 97 of them, scraped at each event."""
+    readings = _readings(spark, folder)
+    counted = running_totals(readings, ("source",), READING_ORDER, {"seen": F.lit(1)})
+    return meters.counter_rate(counted.withColumn("value", F.col("seen") % 97), WIDTH, keys=("source",))
+
+
+@_query
+def sketched_quantiles(spark, folder):
+    """Whether the ranks of quantiles from merged hourly sketches are as exact as they should be."""
+    readings = _readings(spark, folder)
+    path = working_path(spark, "value-sketches")
+    distributions.value_sketches(readings, WIDTH, keys=("room_id",)).write.parquet(path)
+    found = distributions.merged_quantiles(spark.read.parquet(path), ("room_id",))
+    named = [(q, metrics.quantile_name(q)) for q in metrics.QUANTILES]
+    estimates = found.select("room_id", "n", "min", "max", F.inline(F.array(*[
+        F.struct(F.lit(name).alias("quantile"), F.lit(q).alias("q"), F.col(name).alias("estimate")) for q, name in named
+    ])))
+    counts = readings.groupBy("room_id", "temperature").agg(F.count(F.lit(1)).alias("times"))
+    ranks = estimates.join(counts, "room_id").groupBy("room_id", "quantile", "q", "n", "min", "max").agg(
+        F.sum(F.when(F.col("temperature") < F.col("estimate"), F.col("times")).otherwise(0)).alias("below"),
+        F.sum(F.when(F.col("temperature") <= F.col("estimate"), F.col("times")).otherwise(0)).alias("up_to"),
+    )
+    error = distributions.RANK_ERROR * F.col("n") + 1
+    exact_enough = (F.col("below") <= F.col("q") * F.col("n") + error) & (F.col("up_to") >= F.col("q") * F.col("n") - error)
+    return ranks.select("room_id", "quantile", "n", "min", "max", exact_enough.alias("within_error"))
+
+
+@_query
+def recent_per_room(spark, folder):
+    """The figures of the last values of each room and source."""
+    recent = distributions.newest_per_key(_readings(spark, folder), PART_ROWS, ("room_id", "source"))
+    return recent.groupBy("room_id", "source").agg(
+        F.count(F.lit(1)).alias("n"), F.min("temperature").alias("min"), F.max("temperature").alias("max"),
+        F.sum("temperature").alias("total"), F.min("event_id").alias("first_id"),
+    )
+
+
+@_query
+def latest_table(spark, folder):
+    """The latest value per room and source after four batches, one of which is sent twice."""
+    points_ = _temperature_points(spark, folder)
+    state = LatestTable(spark, working_path(spark, "latest"), horizon=LATEST_WITHIN)
+    for number in (0, 1, 1, 2, 3):
+        state.merge(points_.where(F.pmod(F.xxhash64("time", "room"), F.lit(4)) == number), "points", number)
+    return state.read()
