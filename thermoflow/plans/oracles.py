@@ -490,4 +490,9 @@ WHERE place <= 100 GROUP BY room_id, source""",
 WITH {_POINTS}
 SELECT room, source, max(time) AS time, max_by(value, time) AS value FROM rooms_temperatures
 WHERE time > (SELECT max(time) FROM rooms_temperatures) - INTERVAL '3 hours' GROUP BY room, source""",
+        "bucketed_relation": f"WITH {_RELATION} SELECT room_id, relation, window_end FROM relation",
+        "stream_texts": f"""
+WITH {_READINGS}
+SELECT * FROM ({_parts('readings', _DAY, '1 day', 'CAST(temperature AS VARCHAR)', ' ', 'source')})
+WHERE epoch_us(window_end) <= {_CLOSED}""",
     }

@@ -6,6 +6,7 @@ where the defaults are seconds.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -20,6 +21,7 @@ from thermoflow.operators.ordered import plan_slices, running_totals
 from thermoflow.operators.patterns import alerts, compat_alerts, warnings
 from thermoflow.plans.main_job import window_points
 from thermoflow.session import stream_session, use_utc, working_path
+from thermoflow.sinks import buckets
 from thermoflow.sinks.commits import CommittedTable
 from thermoflow.sinks.latest import LatestTable
 from thermoflow.sources import codec, kafka
@@ -29,6 +31,7 @@ from thermoflow.sources.events import (
 from thermoflow.streaming.event_time import with_event_time
 from thermoflow.streaming.patterns import stream_alerts, stream_warnings, warning_delay
 from thermoflow.streaming.run import drain, drained
+from thermoflow.streaming.windows import store_closed_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -771,3 +774,24 @@ def latest_table(spark, folder):
     for number in (0, 1, 1, 2, 3):
         state.merge(points_.where(F.pmod(F.xxhash64("time", "room"), F.lit(4)) == number), "points", number)
     return state.read()
+
+
+@_query
+def bucketed_relation(spark, folder):
+    """The ratio by room from stored buckets, without a shuffle."""
+    name = f"readings_{uuid.uuid4().hex}"
+    buckets.store_buckets(_readings(spark, folder), name, working_path(spark, "buckets"), 8)
+    return buckets.bucketed_relation(buckets.layout_session(spark).table(name), WIDTH)
+
+
+@_query
+def stream_texts(spark, folder):
+    """Texts of closed windows in the parts that tables have."""
+    target = working_path(spark, "texts")
+    store_closed_windows(
+        _reading_stream(spark, folder),
+        lambda rows: windows.window_concat(
+            rows, F.col("temperature").cast("string"), DAY, ("source",), separator=" ", part_rows=PART_ROWS),
+        target, working_path(spark, "texts-checkpoint"), "texts", DAY, state_rows=50, availableNow=True,
+    ).awaitTermination()
+    return _ntz(CommittedTable(spark, target).read(), "window_start", "window_end")

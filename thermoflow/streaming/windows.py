@@ -4,17 +4,24 @@ Sums, means and arg-max rows need no code of their own: the functions of
 ``operators.windows`` run on streams as they are. Joined texts and backups of a window
 would keep all its rows in one state entry; here the window is cut into slices of event
 time, each giving one numbered part as soon as it is closed.
+
+``store_closed_windows`` goes further: state entries hold a bounded number of rows each, by blocks of the rows' unique ids, and the rows of windows that
+a batch closes are handed to the functions for tables. So parts are numbered as in tables, and
+a hot window is spread in the state as well as in the work.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from thermoflow.fixed_values import AVERAGE_WINDOW
 from thermoflow.functions.time import duration_micros
 from thermoflow.model import READING_ORDER
+from thermoflow.sinks.commits import CommittedTable
+from thermoflow.sinks.points import FILE_INTERVAL
 
 
 def stream_parts(
@@ -66,3 +73,35 @@ def stream_backup(
     """The messages of each window as backup records, one per part."""
     parts = stream_parts(messages, F.struct(*fields), width, (), slice_width, order_by)
     return parts.withColumnRenamed("items", "inputMessages")
+
+
+STATE_ROWS = 1000
+
+
+def closed_rows(df: DataFrame, width: str = AVERAGE_WINDOW, ts: str = "ts", unique_id: str = "event_id", state_rows: int = STATE_ROWS) -> DataFrame:
+    """The rows of windows that are closed, as they were (append mode; needs a watermark). All rows of a window come in one batch.
+
+    A state entry has the rows of a window whose ids lie in one block of ``state_rows`` numbers, so at most that many.
+    """
+    block = F.floor(F.col(unique_id) / state_rows)
+    held = df.groupBy(F.window(ts, width), block.alias("_block")).agg(F.collect_list(F.struct(*df.columns)).alias("_rows"))
+    return held.select(F.inline("_rows"))
+
+
+def store_closed_windows(
+    df: DataFrame, results: Callable[[DataFrame], DataFrame], path: str, checkpoint: str, stream: str, width: str = AVERAGE_WINDOW,
+    ts: str = "ts", unique_id: str = "event_id", state_rows: int = STATE_ROWS, **trigger,
+) -> StreamingQuery:
+    """Store what ``results``, a function for tables, makes of the rows of closed windows; each window once.
+
+    ``results`` must work window by window, such as ``window_concat`` or ``window_backup`` of the same width.
+    """
+    rows = closed_rows(df, width, ts, unique_id, state_rows)
+
+    def write(batch: DataFrame, number: int) -> None:
+        CommittedTable(batch.sparkSession, path).append(results(batch), stream, number)
+
+    return (
+        rows.writeStream.foreachBatch(write).queryName(stream).outputMode("append").option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": FILE_INTERVAL})).start()
+    )
