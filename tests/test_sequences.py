@@ -3,12 +3,16 @@
 import random
 
 import pytest
-from conftest import rows
+from conftest import rows, same_rows
 from pyspark.sql import functions as F
 
 from thermoflow.model import READING_ORDER
 from thermoflow.operators.ordered import plan_slices, previous_rows
 from thermoflow.operators.sequences import Pattern, flat_select, matches, runs, select
+from thermoflow.session import stream_session
+from thermoflow.sinks.commits import CommittedTable
+from thermoflow.streaming.event_time import with_event_time
+from thermoflow.streaming.sequences import MATCHES, store_matches
 
 
 def _hot(event, taken):
@@ -136,3 +140,42 @@ def test_a_run_that_never_ends(readings):
     found = runs(df, lambda before, row: F.lit(True), {}, slices=slices).collect()
     assert [(r.n, r.first.event_id, r.last.event_id) for r in found] == [(400, 0, 399)]
     assert runs(df.limit(0), lambda before, row: F.lit(True), {}).count() == 0
+
+
+@pytest.mark.parametrize("dies", [False, True])
+def test_matches_of_a_stream(spark, tmp_path, readings, monkeypatch, dies):
+    """Batch by batch, with keys whose last row lies many batches back, and a job that dies between its two tables."""
+    rng = random.Random(9)
+    data = [(rng.choice(["hot"] * 5 + ["a", None]), "IN", i / 4, rng.randrange(28, 40)) for i in range(240)]
+    data = [("rare", "IN", i / 4, 30 + i // 100) if i % 100 == 1 else r for i, r in enumerate(data)]
+    df, session, source = readings(data, ntz=False), stream_session(spark, 2), str(tmp_path / "in")
+    for i in range(4):
+        df.where(F.col("event_id").between(i * 60, i * 60 + 59)).coalesce(1).write.mode("append").parquet(source)
+    pattern = Pattern().begin("first", _hot, times=2).next("second", _rising)
+
+    def results(found):
+        return found.select(F.col("first")[0]["event_id"].alias("a"), F.col("first")[1]["event_id"].alias("b"), F.col("second.event_id").alias("c"))
+
+    def run():
+        files = session.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(source)
+        store_matches(
+            with_event_time(files, "1 second"), pattern, results, str(tmp_path / "out"), str(tmp_path / "checkpoint"), "m",
+            state_rows=10, availableNow=True,
+        ).awaitTermination()
+
+    if dies:
+        real, calls = CommittedTable.commit, []
+
+        def commit(self, *args, **options):
+            calls.append(self._path)
+            if self._path.endswith("last-rows") and len(calls) == 4:
+                raise OSError("killed")
+            return real(self, *args, **options)
+
+        monkeypatch.setattr(CommittedTable, "commit", commit)
+        with pytest.raises(Exception, match="killed"):
+            run()
+    run()
+    closed = df.where("ts < TIMESTAMP '2024-01-01 00:00:58'")
+    same_rows(CommittedTable(spark, str(tmp_path / "out" / MATCHES)).read(), results(matches(closed, pattern)))
+    assert results(matches(closed, pattern)).where("c % 100 = 1").count() >= 1

@@ -173,6 +173,19 @@ SELECT event_id, ts, arrival, newest - INTERVAL '{delay}' AS watermark, window_e
 WHERE newest - INTERVAL '{delay}' >= window_end - INTERVAL '1 millisecond'"""
 
 
+_TRIPLES = f"""
+WITH {_READINGS},
+lags AS (
+    SELECT room_id, source, lag(event_id, 2) OVER w AS low_event_id, lag(temperature, 2) OVER w AS low_temperature,
+           lag(event_id) OVER w AS middle_event_id, lag(temperature) OVER w AS middle_temperature,
+           event_id AS high_event_id, temperature AS high_temperature, ts - lag(ts, 2) OVER w AS took,
+           (epoch_us(ts) // {_SLICE_US} + 1) * {_SLICE_US} <= {_CLOSED} AS closed
+    FROM readings {_LAGS}),
+triples AS (
+    SELECT * FROM lags
+    WHERE low_temperature < middle_temperature AND middle_temperature < high_temperature
+      AND high_temperature > low_temperature + middle_temperature AND took < INTERVAL '12 hours')"""
+
 # Every row that is not refused, with the count and sum of its window so far and whether it fires a result.
 _FIRED = _ARRIVALS + """,
 counted AS (
@@ -407,16 +420,7 @@ SELECT word, count(*) AS "count" FROM (SELECT unnest({_tokens('p_name', ' ')}) A
         # Patterns of any length
         "pattern_warnings": f"WITH {_warnings()} SELECT * EXCLUDE (prev_ts) FROM warned",
         "pattern_alerts": f"WITH {_warnings()}{_alerts()} {_ALERT}",
-        "rising_triples": f"""
-WITH {_READINGS},
-lags AS (
-    SELECT room_id, source, lag(event_id, 2) OVER w AS low_event_id, lag(temperature, 2) OVER w AS low_temperature,
-           lag(event_id) OVER w AS middle_event_id, lag(temperature) OVER w AS middle_temperature,
-           event_id AS high_event_id, temperature AS high_temperature, ts - lag(ts, 2) OVER w AS took
-    FROM readings {_LAGS})
-SELECT * EXCLUDE (took) FROM lags
-WHERE low_temperature < middle_temperature AND middle_temperature < high_temperature
-  AND high_temperature > low_temperature + middle_temperature AND took < INTERVAL '12 hours'""",
+        "rising_triples": f"{_TRIPLES} SELECT * EXCLUDE (took, closed) FROM triples",
         "hot_streaks": f"""
 WITH {_READINGS},
 lags AS (
@@ -495,4 +499,5 @@ WHERE time > (SELECT max(time) FROM rooms_temperatures) - INTERVAL '3 hours' GRO
 WITH {_READINGS}
 SELECT * FROM ({_parts('readings', _DAY, '1 day', 'CAST(temperature AS VARCHAR)', ' ', 'source')})
 WHERE epoch_us(window_end) <= {_CLOSED}""",
+        "stream_rising_triples": f"{_TRIPLES} SELECT * EXCLUDE (took, closed) FROM triples WHERE closed",
     }

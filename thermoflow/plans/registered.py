@@ -31,6 +31,7 @@ from thermoflow.sources.events import (
 from thermoflow.streaming.event_time import with_event_time
 from thermoflow.streaming.patterns import stream_alerts, stream_warnings, warning_delay
 from thermoflow.streaming.run import drain, drained
+from thermoflow.streaming.sequences import MATCHES, store_matches
 from thermoflow.streaming.windows import store_closed_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -607,22 +608,27 @@ def pattern_alerts(spark, folder):
     return sequences.flat_select(found, F.when(rising, F.array(alert)).otherwise(F.array()))
 
 
-@_query
-def rising_triples(spark, folder):
-    """Three readings in a row, each above the one before, the last one also above twice the mean of the others."""
-    pattern = (
-        sequences.Pattern().begin("low")
-        .next("middle", lambda event, taken: event["temperature"] > taken["low"][0]["temperature"])
-        .next("high", lambda event, taken: (event["temperature"] > taken["middle"][0]["temperature"]) & (
-            event["temperature"] > taken["low"][0]["temperature"] + taken["middle"][0]["temperature"]))
-        .within("12 hours")
-    )
-    found = sequences.matches(_readings(spark, folder), pattern, fields=("temperature",))
+_RISING = (
+    sequences.Pattern().begin("low")
+    .next("middle", lambda event, taken: event["temperature"] > taken["low"][0]["temperature"])
+    .next("high", lambda event, taken: (event["temperature"] > taken["middle"][0]["temperature"]) & (
+        event["temperature"] > taken["low"][0]["temperature"] + taken["middle"][0]["temperature"]))
+    .within("12 hours")
+)
+
+
+def _rising_rows(found: DataFrame) -> DataFrame:
     return found.select("room_id", "source", *[
         F.col(f"{step}.{field}").alias(f"{step}_{field}") for step in ("low", "middle", "high") for field in ("event_id", "temperature")
     ])
 
 
+@_query
+def rising_triples(spark, folder):
+    """Three readings in a row, each above the one before, the last one also above twice the mean of the others."""
+    return _rising_rows(sequences.matches(_readings(spark, folder), _RISING, fields=("temperature",)))
+
+
 @_query
 def hot_streaks(spark, folder):
     """Four hot readings in a row of which no two neighbours are equal, then one that is not hot."""
@@ -795,3 +801,14 @@ def stream_texts(spark, folder):
         target, working_path(spark, "texts-checkpoint"), "texts", DAY, state_rows=50, availableNow=True,
     ).awaitTermination()
     return _ntz(CommittedTable(spark, target).read(), "window_start", "window_end")
+
+
+@_query
+def stream_rising_triples(spark, folder):
+    """The pattern of three steps on a stream."""
+    target = working_path(spark, "rising")
+    store_matches(
+        _reading_stream(spark, folder), _RISING, _rising_rows, target, working_path(spark, "rising-checkpoint"), "rising",
+        slice_width=STREAM_SLICE, state_rows=50, availableNow=True,
+    ).awaitTermination()
+    return CommittedTable(spark, f"{target}/{MATCHES}").read()
