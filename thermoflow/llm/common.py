@@ -66,3 +66,8 @@ def text_of(column: str = "text") -> Column:
 def words_of(text: Column) -> Column:
     """The words of a text as an array, without empty ones."""
     return F.array_remove(F.split(text, BLANKS), "")
+
+
+def packed(columns: list[str]) -> Column:
+    """The columns as fields of one, also if there are none, so that their names clash with nothing."""
+    return F.struct(F.lit(0).alias("_" * (1 + max(map(len, columns), default=0))), *columns)

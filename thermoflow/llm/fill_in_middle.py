@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from thermoflow.llm.batches import slices
-from thermoflow.llm.common import map_arrow, read, text_of
+from thermoflow.llm.common import map_arrow, packed, read, text_of
 
 PREFIX, SUFFIX, MIDDLE = "<P>", "<S>", "<M>"
 #: Per hundred texts: those that are moved at all, and of these the ones with the suffix first.
@@ -156,7 +156,7 @@ def moved(df: DataFrame, doc_id: str = "doc_id", text: str = "text", unit: str =
     marked = F.contains(whole, F.lit(PREFIX)) | F.contains(whole, F.lit(SUFFIX)) | F.contains(whole, F.lit(MIDDLE))
     # The rows travel as one column, so no name of theirs can clash.
     body = df.select(
-        F.struct(F.lit(0).alias("_"), *kept).alias("row"), whole.alias("text"), h1.alias("h1"), h2.alias("h2"),
+        packed(kept).alias("row"), whole.alias("text"), h1.alias("h1"), h2.alias("h2"),
         F.when((whole == "") | marked | (h3 % 100 >= MOVED), PLAIN).when(h4 % 100 < SUFFIX_FIRST, SPM).otherwise(PSM).alias("form"),
     )
     schema = T.StructType([body.schema["row"], *added])

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from thermoflow.llm.batches import BASE, mixed, powers, slices
-from thermoflow.llm.common import map_arrow, read, text_of, written
+from thermoflow.llm.common import map_arrow, packed, read, text_of, written
 
 #: Labelled documents that train, about, and the most lines one of them may have.
 SAMPLE, MOST_LINES = 3_000, 500
@@ -314,7 +314,7 @@ def with_scores(df: DataFrame, model: Model, text: str = "text", score: str = "s
     sent = df.sparkSession.sparkContext.broadcast((model.values, model.change, model.share))
     kept = [c for c in df.columns if c not in (text, score)]
     # The rows travel as one column, so no name of theirs can clash.
-    body = df.select(F.struct(F.lit(0).alias("_"), *kept).alias("row"), text_of(text).alias("text"))
+    body = df.select(packed(kept).alias("row"), text_of(text).alias("text"))
     schema = T.StructType([body.schema["row"], T.StructField("score", T.DoubleType())])
 
     def score_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
