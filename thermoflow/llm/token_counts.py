@@ -95,6 +95,33 @@ class PieceCounts:
                 return counts[n - size] + 1, token
         raise ValueError("a byte without a token")
 
+    def _inside_group(self, piece: str, at: int, to: int, letters: str, counts: list[int], lasts: list[str], budget: int) -> int:
+        """The longest fitting prefix that ends inside ``at .. to``, many characters that are normalised together; 0 if none fits.
+
+        Each such prefix is normalised anew, as marks may change places. Their counts rise but for a few tokens at a border, so
+        the last fitting one is found by halving, and then among the ``LONG`` behind it.
+        """
+        def fits(end: int) -> bool:
+            added = "".join(self._letters[b] for b in self._normal(piece[at:end]).encode())
+            size = self.longest
+            now, more, tokens, over = letters[-size:], counts[-size:], lasts[-size:], 0
+            for letter in added[:-1]:
+                now = (now + letter)[-size:]
+                count, token = self._step(now, more[-size:], tokens[-size:], False)
+                more.append(count)
+                tokens.append(token)
+                over = over + 1 if count > budget else 0
+                if over > size:
+                    return False
+            return not added or self._step((now + added[-1])[-size:], more[-size:], tokens[-size:], True)[0] <= budget
+
+        low, high = at, to
+        while high - low > 1:
+            middle = (low + high) // 2
+            low, high = (middle, high) if fits(middle) else (low, middle)
+        found = [end for end in range(low + 1, min(low + LONG, to) + 1) if fits(end)]
+        return max(found, default=low if low > at else 0)
+
     def fitting(self, piece: str, budget: int) -> int:
         """The length of the longest prefix of a piece with at most ``budget`` tokens."""
         letters, counts, lasts, best, over, at = "", [0], [""], 0, 0, 0
@@ -105,7 +132,12 @@ class PieceCounts:
                 unicodedata.combining(piece[to]) or self._normal(piece[to - 1: to + 1]) != self._normal(piece[to - 1]) + self._normal(piece[to])
             ):
                 to += 1
-            for end in range(at + 1, to + 1):
+            if to - at > LONG:
+                best = max(best, self._inside_group(piece, at, to, letters, counts, lasts, budget))
+                ends = [to]
+            else:
+                ends = range(at + 1, to + 1)
+            for end in ends:
                 added = "".join(self._letters[b] for b in self._normal(piece[at:end]).encode())
                 now, more, tokens = letters, counts[:], lasts[:]
                 if end == to:
@@ -202,6 +234,9 @@ class PrefixCounts:
         if starts[at + 1] - starts[at] > LONG:
             best = starts[at] + self._pieces.fitting(head[starts[at]: starts[at + 1]], budget - firsts[at])
             if best < starts[at + 1]:
+                # Marks that change places across the border of pieces may leave a prefix too long by some characters.
+                while best > starts[low] and firsts[low] + self._encoded([head[starts[low]:best]])[0] > budget:
+                    best -= 1
                 return best
         after = starts[min(at + 2, len(firsts))]
         lengths = range(min(after, starts[at + 1] + LONG), starts[at], -1)
