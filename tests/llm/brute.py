@@ -2,9 +2,10 @@
 
 import collections
 
+import duckdb
 import numpy as np
+import pyarrow as pa
 import regex
-import xxhash
 
 WORD = regex.compile(r"[^\x20\x09-\x0D]+")
 NAME = regex.compile(r"[\p{L}\p{N}]+")
@@ -87,14 +88,35 @@ def edits(a, b):
     return row[-1]
 
 
-def simhash(line):
-    h = np.array([xxhash.xxh64_intdigest(w.encode(), seed=42) for w in set(line.split(" "))], dtype=np.uint64)
-    h = np.sort(h.view(np.int64))[:16].view(np.uint64)
-    ones = ((h[:, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)).sum(0)
-    return sum(1 << i for i in range(64) if ones[i] * 2 > len(h))
-
-
-def removed_lines(texts, similarity=0.8, apart=2):
+def similar_pairs(lines, similarity=0.8):
+    """All pairs (indices) of lines with that edit similarity, by edit distances alone.
+
+    Two lines that are ``k`` edits apart differ in at most ``4 k`` pairs of letters, so most pairs need no distance.
+    """
+    if not lines:
+        return []
+    counts = np.zeros((len(lines), 512), dtype=np.int16)
+    for i, line in enumerate(lines):
+        for a, b in zip(line, line[1:]):
+            counts[i, (ord(a) * 31 + ord(b)) % 512] += 1
+    length, found = np.array([len(x) for x in lines]), []
+    for i in range(len(lines) - 1):
+        most = (np.maximum(length[i + 1:], length[i]) * (1 - similarity) + 1e-9).astype(int)
+        likely = np.flatnonzero(np.abs(length[i + 1:] - length[i]) <= most)
+        differ = np.abs(counts[i + 1 + likely] - counts[i]).sum(axis=1, dtype=np.int64)
+        found += [(i, int(i + 1 + j)) for j in likely[differ <= 4 * most[likely]]]
+    # The distance of the SQL engine counts bytes: each letter is given one of its own.
+    letters = sorted({c for line in lines for c in line})
+    assert len(letters) < 120
+    lines = [line.translate({ord(c): i + 1 for i, c in enumerate(letters)}) for line in lines]
+    table = pa.table({"a": [a for a, _ in found], "b": [b for _, b in found],
+                      "x": [lines[a] for a, _ in found], "y": [lines[b] for _, b in found]})
+    sql = f"SELECT a, b FROM t WHERE levenshtein(x, y) <= floor(greatest(length(x), length(y)) * {1 - similarity} + 1e-9)"
+    return duckdb.connect().register("t", table).sql(sql).fetchall()
+
+
+def normal_lines(texts):
+    """Places of the lines that hold letters or digits, and the first place of each distinct one."""
     blank = regex.compile(r"[^\p{L}\p{N}\n]+")
     places, first = [], {}
     for d in sorted(texts):
@@ -102,15 +124,16 @@ def removed_lines(texts, similarity=0.8, apart=2):
             if line := line.strip(" "):
                 places.append((d, i, line))
                 first.setdefault(line, (d, i))
+    return places, first
+
+
+def removed_lines(texts, similarity=0.8):
+    """Line numbers by document: all but the first occurrence of each group connected by edit similarity."""
+    places, first = normal_lines(texts)
     lines = list(first)
-    hashes = np.array([simhash(x) for x in lines], dtype=np.uint64)
     groups = Groups(range(len(lines)))
-    for i in range(len(lines)):
-        for j in np.flatnonzero(np.bitwise_count(hashes[i + 1:] ^ hashes[i]) <= apart) + i + 1:
-            a, b = lines[i], lines[j]
-            most = int(max(len(a), len(b)) * (1 - similarity) + 1e-9)
-            if abs(len(a) - len(b)) <= most and edits(a, b) <= most:
-                groups.join(i, int(j))
+    for i, j in similar_pairs(lines, similarity):
+        groups.join(i, j)
     stays, index = {}, {x: i for i, x in enumerate(lines)}
     for x, place in first.items():
         root = groups.root(index[x])

@@ -12,6 +12,7 @@ from thermoflow.llm import (
     decontamination, line_dedup, ngram_jaccard_join, pfair_mixing, quality_rules, quotation_links, secret_scans,
     substring_dedup, token_counts, toxicity,
 )
+from thermoflow.llm.common import read
 from thermoflow.llm.components import components
 from thermoflow.llm.registered import ORACLES, QUERIES
 
@@ -157,7 +158,7 @@ def test_stages(spark, awkward, nothing, name, stage):  # noqa: F811
     if name != "mixing":
         assert rows.columns == awkward.columns
     if name == "ngram_jaccard_join":
-        assert ids[4] == 1 and ids[5] == 0 and ids[7] == 0 and ids[11] == 1
+        assert ids[4] == 1 and ids[5] == 0 and ids[7] == 0 and ids[11] == 2
     assert stage(spark, nothing, SF).count() == 0
 
 
@@ -173,3 +174,30 @@ def test_components(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(chain, "a bigint, b bigint")).collect()}
     assert got == {i: 0 for i in range(41)} | {k: 100 for k in range(100, 140)} | {200: 200, 201: 200, 202: 200}
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_stages_against_plain_versions(spark, documents):  # noqa: F811
+    """Each stage on what its predecessor kept: which documents go, by plain versions of the operators."""
+    from brute import near_duplicates, overlaps
+
+    from thermoflow.llm.common import written
+
+    docs, ids, texts = documents, {}, {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = written(stage(spark, docs, SF), "stage")
+        rows = docs.collect()
+        ids[name], texts[name] = {r.doc_id for r in rows}, {r.doc_id: r.text for r in rows}
+        assert len(rows) == len(ids[name]) and docs.columns == documents.columns
+        assert all(r.n_chars == len(r.text) for r in rows)
+    given = {r.doc_id: r.text for r in documents.collect()}
+    toxic = {r.doc_id for r in toxicity.op9_toxicity(spark, SF).collect() if r.predicted}
+    assert ids["toxicity"] == set(given) - toxic
+    for d, text in texts["line_dedup"].items():
+        left = Counter(text.split("\n"))
+        assert not left - Counter(given[d].split("\n"))
+    classes = near_duplicates(texts["line_dedup"])
+    assert ids["ngram_jaccard_join"] == {d for d, (class_id, _) in classes.items() if class_id == d}
+    items = {r.item_id: r.text for r in read(spark, SF, "benchmark").collect()}
+    assert ids["decontamination"] == ids["ngram_jaccard_join"] - {d for d, _ in overlaps(texts["ngram_jaccard_join"], items)}
+    mixed = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
+    assert {r.doc_id for r in mixed} == ids["decontamination"] and sorted(r.position for r in mixed) == sorted({r.position for r in mixed})
