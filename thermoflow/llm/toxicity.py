@@ -20,6 +20,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -215,17 +216,19 @@ def with_scores(df: DataFrame, model: tuple[np.ndarray, np.ndarray, float], text
 def without_toxic(df: DataFrame, model: tuple[np.ndarray, np.ndarray, float], text: str = "text",
                   threshold: float = THRESHOLD) -> DataFrame:
     """The rows that score below the threshold, with all their columns."""
+    ship(df.sparkSession)
     sent = df.sparkSession.sparkContext.broadcast(model)
-    # The rows travel as one column, so no name of theirs can clash.
-    body = df.select(F.struct(*df.columns).alias("row"), normal_text(text).alias("plain"))
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # Only the normalised text goes to Python; the rows wait in Spark.
+    @F.pandas_udf("boolean")
+    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scores = _scorer(sent.value)
-        for batch in slices(batches, "plain", 1 << 18):
-            clean = scores(batch.column("plain").to_pylist()) < threshold
-            yield batch.select(["row"]).filter(pa.array(clean))
+        for batch in batches:
+            texts = batch.tolist()
+            kept = [scores(piece) < threshold for _, piece in _pieces(texts)]
+            yield pd.Series(np.concatenate(kept) if kept else np.zeros(0, dtype=bool))
 
-    return map_arrow(body, keep, body.select("row").schema).select("row.*")
+    return df.where(clean(normal_text(text)))
 
 
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
