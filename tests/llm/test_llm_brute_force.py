@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from brute import WORD, near_duplicates, normal_lines, overlaps, removed_lines, removed_words
 from llm_cases import SF, documents, texts  # noqa: F401
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from thermoflow.llm import (
@@ -131,6 +132,37 @@ def test_a_common_line_with_many_variants(spark):
     assert rows[200].n_removed == 0 and rows[201].n_removed == 1
 
 
+def test_lines_under_one_key_do_not_all_meet(spark, monkeypatch):
+    """Variants of one line cost their number, and lines that share a passage are compared if their lengths allow it."""
+    rng = np.random.default_rng(5)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 7))
+    # The words of the passage have the least hashes, so all keys of the lines are its own.
+    words = spark.createDataFrame([(word(),) for _ in range(4000)], "w string").orderBy(F.xxhash64("w")).limit(20)
+    base, passage, texts = [word() for _ in range(60)], [r.w for r in words.collect()], {}
+    for d in range(150):
+        line = list(base)
+        for k in rng.choice(60, 5, replace=False):
+            line[k] = word()
+        texts[d] = " ".join(line)
+    for d in range(150, 250):
+        own = [word() for _ in range(int(25 * 1.03 ** (d - 150)))]
+        texts[d] = " ".join(own[:10] + passage + own[10:])
+    pairs, write = [], line_dedup.written
+
+    def counted(df, name):
+        table = write(df, name)
+        if name == "line-pairs":
+            pairs.append(table.count())
+        return table
+
+    monkeypatch.setattr(line_dedup, "written", counted)
+    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    gone = removed_lines(texts)
+    rows = {r.doc_id: r for r in line_dedup.remove_lines(df).collect()}
+    assert {d: rows[d].n_removed for d in texts} == {d: len(gone[d]) for d in texts} and sum(map(len, gone.values())) == 149
+    assert sum(pairs) < 6 * len(texts)
+
+
 def test_token_counts(spark, texts):
     library = Tokenizer.from_file(token_counts.vocabulary_path())
     rows = {r.doc_id: r for r in token_counts.op5_token_counts(spark, SF).collect()}
